@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curaspark.functions.text import BLANK
-from curaspark.llm import capping, truth
+from curaspark.llm import canonical, capping, truth
 from curaspark.queries import sqltext as S
 from curaspark.queries import table
 
@@ -23,6 +23,21 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return truth.dominating(p1_survivors(spark, d))
 
 
+def p2_mapped(spark: SparkSession, d: str) -> DataFrame:
+    """Every row of bold_db_targets with the canonical family and whether it was exact, mapped, missing or unmatched."""
+    return canonical.mapped(table(spark, d, "bold_db_targets"), table(spark, d, "ncbi_synonyms_filtered"), "bold_row_id", "family", "order_name")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """Rows whose family is typed otherwise but means one canonical family."""
+    return p2_mapped(spark, d).filter("status = 'mapped'").select("bold_row_id", "tax_name")
+
+
+def p2_misses(spark: SparkSession, d: str) -> DataFrame:
+    """Family values that mean no canonical family, with their rows."""
+    return p2_mapped(spark, d).filter("status = 'unmatched'").groupBy("family").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def p4_capped(spark: SparkSession, d: str) -> DataFrame:
     """lineage with at most CAP rows per species."""
     return capping.capped(table(spark, d, "lineage"), capping.species_key(F.col("species"), F.col("genus")), "row_id", F.col("quality"), CAP)
@@ -39,7 +54,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return kept.select("row_id")
 
 
-QUERIES = {"p1_survivors": p1_survivors, "p1_found": p1_found, "p4_capped": p4_capped, "p4_genus": p4_genus, "p4_found": p4_found}
+QUERIES = {"p1_survivors": p1_survivors, "p1_found": p1_found, "p2_mapped": p2_mapped, "p2_found": p2_found, "p2_misses": p2_misses, "p4_capped": p4_capped, "p4_genus": p4_genus, "p4_found": p4_found}
 
 _ACC = f"regexp_replace(regexp_extract(regexp_replace(upper({S.narrow('seqid')}), '^[A-Z]+[:|]', ''), '^[^./;,|]+'), '[^A-Z0-9]', '', 'g')"
 _TAX = f"upper({S.narrow('taxid')})"
