@@ -10,6 +10,7 @@ RANKS = ["kingdom", "phylum", "class_name", "order_name", "family", "genus", "sp
 MISSING = ["", "none", "unclassified"]
 #: Blanks of any kind, and marks without width.
 BLANK = r"[\s\p{Z}\x{85}\x{AD}\x{180E}\x{200B}-\x{200F}\x{2060}\x{FEFF}]"
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\xad\u1680\u180e" + "".join(map(chr, range(0x2000, 0x2010))) + "\u2028\u2029\u202f\u205f\u2060\u3000\ufeff"
 FULL_WIDTH = "".join(chr(c) for c in range(0xFF01, 0xFF5F))
 ASCII = "".join(chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F))
 DASHES = "‐‑‒–—―−"
@@ -17,7 +18,7 @@ DASHES = "‐‑‒–—―−"
 
 def trimmed(c: Column) -> Column:
     """c without blanks of any kind at its ends; null stays null."""
-    return F.regexp_replace(c, f"^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def missing(c: Column) -> Column:
@@ -42,7 +43,7 @@ def rank_key(c: Column) -> Column:
 
 def narrow(c: Column) -> Column:
     """Full-width signs as ASCII, every dash as '-', no blanks and no marks without width."""
-    return F.regexp_replace(F.translate(c, FULL_WIDTH + DASHES, ASCII + "-" * len(DASHES)), BLANK, "")
+    return F.translate(c, FULL_WIDTH + DASHES + BLANKS, ASCII + "-" * len(DASHES))
 
 
 def node_id(c: Column) -> Column:

@@ -1,6 +1,6 @@
 """The expressions of functions.text in SQL, for the reference SQL of the queries."""
 
-from curaspark.functions.text import ASCII, BLANK, DASHES, FULL_WIDTH
+from curaspark.functions.text import ASCII, BLANK, BLANKS, DASHES, FULL_WIDTH
 
 
 def _q(s: str) -> str:
@@ -8,7 +8,7 @@ def _q(s: str) -> str:
 
 
 def trimmed(c: str) -> str:
-    return f"regexp_replace({c}, '^{BLANK}+|{BLANK}+$', '', 'g')"
+    return f"trim({c}, {_q(BLANKS)})"
 
 
 def missing(c: str) -> str:
