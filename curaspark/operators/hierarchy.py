@@ -125,7 +125,7 @@ def preorder(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def paths(ranges: DataFrame) -> DataFrame:
-    """preorder() with depth, root, path_ids and path_ranks, from the root to the node itself.
+    """preorder() with depth, root, path_ids and path_ranks, from the root to the node itself; with path_names if ranges has names (`name`).
 
     Preorder positions are dense, so blocks of SWEEP positions are tasks of equal size. A node whose range reaches into
     later blocks is given to those as well (one row per open ancestor at a block's start). Within a block, sorted by lft, the open
@@ -135,23 +135,29 @@ def paths(ranges: DataFrame) -> DataFrame:
     own = ranges.withColumn("block", block("lft")).withColumn("own", F.lit(True))
     open_ = ranges.filter(block("rgt") > block("lft")).withColumn("block", F.explode(F.sequence(block("lft") + 1, block("rgt")))).withColumn("own", F.lit(False))
 
+    named = "name" in ranges.columns
+    carried = ["id", "rank", "name"] if named else ["id", "rank"]
+
     def sweep(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("lft")
         stack: list[tuple] = []
-        ids: list[list] = []
-        ranks: list[list] = []
-        for i, rank, lft, rgt in zip(rows.id, rows["rank"], rows.lft, rows.rgt):
-            while stack and stack[-1][2] < lft:
+        seen: list[list] = [[] for _ in carried]
+        for lft, rgt, *values in zip(rows.lft, rows.rgt, *(rows[c] for c in carried)):
+            while stack and stack[-1][0] < lft:
                 stack.pop()
-            stack.append((i, rank, rgt))
-            ids.append([x[0] for x in stack])
-            ranks.append([x[1] for x in stack])
-        rows = rows.assign(path_ids=ids, path_ranks=ranks)[rows.own.to_numpy()]
+            stack.append((rgt, *values))
+            for k, out in enumerate(seen, 1):
+                out.append([x[k] for x in stack])
+        for c, out in zip(carried, seen):
+            rows[f"path_{c}s"] = out
+        rows = rows[rows.own.to_numpy()]
         rows["depth"] = rows.path_ids.str.len() - 1
         rows["root"] = rows.path_ids.str[0]
-        return rows[["id", "parent", "rank", "lft", "rgt", "depth", "root", "path_ids", "path_ranks"]]
+        return rows[kept]
 
-    return own.unionByName(open_).groupBy("block").applyInPandas(sweep, "id bigint, parent bigint, rank string, lft bigint, rgt bigint, depth int, root bigint, path_ids array<bigint>, path_ranks array<string>")
+    kept = ["id", "parent", "rank", "lft", "rgt", "depth", "root", *(f"path_{c}s" for c in carried)]
+    kind = "id bigint, parent bigint, rank string, lft bigint, rgt bigint, depth int, root bigint, path_ids array<bigint>, path_ranks array<string>"
+    return own.unionByName(open_).groupBy("block").applyInPandas(sweep, kind + ", path_names array<string>" * named)
 
 
 def hierarchy(nodes: DataFrame) -> DataFrame:
