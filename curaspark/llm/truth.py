@@ -26,27 +26,29 @@ def accession(c: Column) -> Column:
     dot, slash, comma, semicolon or bar (a version, a marker) is not part of it. In the shapes in use, two letters with 7
     digits, five with 7 and LAB with 11, the letters O, I and L in the place of a digit are 0, 1 and 1.
     """
-    s = F.regexp_replace(F.upper(narrow(c)), r"^[A-Z]+[:|]", "")
-    s = F.regexp_replace(F.regexp_extract(s, r"^[^./;,|]+", 0), r"[^A-Z0-9]", "")
+    usual = F.when(c.rlike(r"^(?:[A-Z]{2}[0-9]{7}|[A-Z]{5}[0-9]{5}-[0-9]{2}|LAB_[0-9]{2}_[0-9]{9})(?:\.[0-9]+)?$"), F.translate(F.substring_index(c, ".", 1), "-_", ""))
+    s = F.regexp_replace(F.regexp_extract(F.upper(narrow(c)), r"^(?:[A-Z]+[:|])?([^./;,|]+)", 1), r"[^A-Z0-9]+", "")
     digits = lambda at: F.concat(F.substring(s, 1, at), F.translate(F.substring(s, at + 1, 99), "OIL", "011"))
-    s = F.when(s.rlike(r"^[A-Z]{2}[0-9OIL]{7}$"), digits(2)).when(s.rlike(r"^[A-Z]{5}[0-9OIL]{7}$"), digits(5)).when(s.rlike(r"^LAB[0-9OIL]{11}$"), digits(3)).otherwise(s)
-    return F.when(s != "", s)
+    odd = F.when(s.rlike(r"^[A-Z]{2}[0-9OIL]{7}$"), digits(2)).when(s.rlike(r"^[A-Z]{5}[0-9OIL]{7}$"), digits(5)).when(s.rlike(r"^LAB[0-9OIL]{11}$"), digits(3)).when(s != "", s)
+    return F.coalesce(usual, odd)
 
 
 def taxon(c: Column) -> Column:
     """The namespace and number of a taxid in one writing; without a known namespace it is NCBI's. Null where no number is named."""
+    usual = F.when(c.rlike("^(?:NCBI|BOLD|INTERNAL):[1-9][0-9]*$"), c)
     s = F.upper(narrow(c))
     space = F.regexp_extract(s, r"^(NCBI|BOLD|INTERNAL)[:_|]?\d+$", 1)
     number = F.regexp_extract(s, r"^[A-Z]*[:_|]?0*(\d+)$", 1)
-    return F.when(number != "", F.concat(F.when(space != "", space).otherwise("NCBI"), F.lit(":"), number))
+    return F.coalesce(usual, F.when(number != "", F.concat(F.when(space != "", space).otherwise("NCBI"), F.lit(":"), number)))
 
 
 def _claims(lineage: DataFrame, trust: DataFrame) -> tuple[DataFrame, int]:
     """The rows with both keys: row_id, acc, tax, the ranks in one writing, source, loaded_at, filled, trust; and their number."""
     t = trust.filter("source is not null").groupBy("source").agg(F.max("trust").alias("trust"))
-    rows = lineage.select("row_id", accession(F.col("seqid")).alias("acc"), taxon(F.col("taxid")).alias("tax"), *[rank_key(F.col(r)).alias(r) for r in RANKS], "source", "loaded_at").filter("acc is not null and tax is not null")
+    rows = lineage.select("row_id", accession(F.col("seqid")).alias("acc"), taxon(F.col("taxid")).alias("tax"), *[rank_key(F.col(r)).alias(r) for r in RANKS], "source", "loaded_at")
     filled = sum((F.col(r).isNotNull().cast("int") for r in RANKS), F.lit(0))
-    return counted_table(rows.join(F.broadcast(t.limit(MAX_SOURCES)), "source", "left").withColumn("filled", filled).withColumn("trust", F.coalesce("trust", F.lit(-1))))
+    rows = rows.join(F.broadcast(t.limit(MAX_SOURCES)), "source", "left").withColumn("filled", filled).withColumn("trust", F.coalesce("trust", F.lit(-1)))
+    return counted_table(rows.filter("acc is not null and tax is not null"))
 
 
 def reliability(votes: DataFrame, prior: list[float]) -> list[float]:
