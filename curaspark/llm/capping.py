@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from curaspark.functions.text import BLANK, missing, rank_key, trimmed
+from curaspark.functions.text import BLANK, missing, rank_key
 from curaspark.llm.skew import hot_join
 from curaspark.session import as_table, counted_table, lookup_join
 
@@ -34,12 +34,12 @@ def species_key(species: Column, genus: Column) -> Column:
     Markup, quotes, a subgenus in brackets, '_' and '+' for a blank make no difference. A name with a dot or a digit is a placeholder. A single
     word is an epithet of the row's genus, or nothing where that is missing or the same word.
     """
+    usual = F.when(species.rlike("^[A-Za-z]+ [A-Za-z]+$"), F.lower(species))
     s = F.regexp_replace(F.lower(species), r"<[^>]*>|\([^)]*\)|[\"'“”„‘’«»]", "")
-    s = F.regexp_replace(F.regexp_replace(s, rf"(?:{BLANK}|[_+])+", " "), "^ | $", "")
-    word = F.split(s, " ")
+    s = F.btrim(F.regexp_replace(s, rf"(?:{BLANK}|[_+])+", " "))
     own = F.lower(rank_key(genus))
-    two = F.when(F.size(word) > 1, F.concat_ws(" ", word[0], word[1])).when(own.isNotNull() & (own != s), F.concat_ws(" ", own, s))
-    return F.when(~missing(species) & (s != "") & ~s.isin("none", "unclassified") & ~s.rlike(r"[.0-9]"), two)
+    two = F.when(s.contains(" "), F.substring_index(s, " ", 2)).when(own.isNotNull() & (own != s), F.concat_ws(" ", own, s))
+    return F.coalesce(usual, F.when(~missing(species) & ~s.isin("", "none", "unclassified") & ~s.rlike(r"[.0-9]"), two))
 
 
 def genus_key(genus: Column) -> Column:
@@ -85,11 +85,9 @@ def over_cap(df: DataFrame, who: Column, row_id: str, score: Column, cap: int) -
     byte on these counts, then the cutoff id byte by byte among the rows at that score. So only counts of at most 256 buckets a
     contributor are ever gathered, and rows are compared with their cutoff at the end.
     """
-    rows = df.select(F.col(row_id).cast("bigint").alias("row_id"), who.alias("who"), score.cast("double").alias("q")).filter("who is not null")
-    counts, _ = counted_table(rows.groupBy("who").agg(F.count(F.lit(1)).alias("n")))
-    large = counts.filter(F.col("n") > cap)
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rows = as_table(hot_join(rows, large, ["who"], "n", total).select("row_id", "who", score_key("q").alias("key"), "n"))
+    rows, total = counted_table(df.select(F.col(row_id).cast("bigint").alias("row_id"), who.alias("who"), score_key(score.cast("double")).alias("key")).filter("who is not null"))
+    large = as_table(rows.groupBy("who").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cap))
+    rows = as_table(hot_join(rows, large, ["who"], "n", total))
     need = large.select("who", F.lit(cap).cast("bigint").alias("need"))
     by_score = as_table(rows.groupBy("who", "key").agg(F.count(F.lit(1)).alias("c")))
     at_score = as_table(_select(by_score, need, 0).select("who", F.col("cut").alias("cut_score"), "need", F.col("n").alias("n_at")))
