@@ -57,22 +57,13 @@ def modal_code(records: DataFrame, marker_type: str) -> int:
     return int(top[0].c)
 
 
-def by_code(s: Column, code: Column) -> Column:
-    """Protein by the genetic code that each row names; null for an unknown code."""
-    return reduce(lambda rest, k: F.when(code == k, Q.translated(s, k)).otherwise(rest), Q.GENETIC_CODES, F.lit(None).cast("string"))
-
-
-def frames(df: DataFrame, seq: str = "seq", codes: tuple[int, ...] | None = None, code: str | None = None) -> DataFrame:
+def frames(df: DataFrame, seq: str = "seq", code: int | str = 5) -> DataFrame:
     """Six rows per record: frame, frame_seq, protein, stops (positions of stop codons in the protein). Records with the same name and
-    sequence come once if df has a name. code: a column with the genetic code; codes: the codes that occur, one for all without such a column."""
+    sequence come once if df has a name. code: a genetic code for all, or the column that holds each record's."""
     df = df.dropDuplicates(["name", seq]) if "name" in df.columns else df
     out = df.withColumn("_f", F.explode(Q.six_frames(F.upper(seq)))).withColumn("frame", F.col("_f.frame")).withColumn("frame_seq", F.col("_f.seq")).drop("_f")
-    known = codes or tuple(Q.GENETIC_CODES)
-    if code is None:
-        protein = Q.translated(F.col("frame_seq"), known[0])
-    else:
-        protein = reduce(lambda rest, k: F.when(F.col(code).cast("int") == k, Q.translated(F.col("frame_seq"), k)).otherwise(rest), known, F.lit(None).cast("string"))
-    return out.withColumn("protein", protein).withColumn("stops", Q.stop_positions(F.col("protein")))
+    out = out.withColumn("protein", Q.translated(F.col("frame_seq"), code if isinstance(code, int) else F.col(code)))
+    return out.withColumn("stops", Q.stop_positions(F.col("protein")))
 
 
 def reading_frames(df: DataFrame, seq: str, code: int, try_rc: bool = True, draws: str = "majority") -> DataFrame:
@@ -81,18 +72,15 @@ def reading_frames(df: DataFrame, seq: str, code: int, try_rc: bool = True, draw
     Null where no frame is free of stops; where several are (a draw), the most frequent frame of all records (smallest of equal ones) or, with draws='remove', null.
     A frame too short for a codon has no stop. Null sequences have no frame.
     """
-    s = F.upper(seq)
-    stops = [F.length(F.regexp_replace(Q.translated(Q.frame(s, f), code), "[^*]", "")) for f in (1, 2, 3, -1, -2, -3)]
-
     def pick(counts: list[Column], sign: int) -> Column:
         free = sum((F.when(c == 0, 1).otherwise(0) for c in counts), F.lit(0))
         only = F.coalesce(*[F.when(c == 0, F.lit(sign * i)) for i, c in enumerate(counts, 1)])
         return F.when(free == 1, only).when(free > 1, F.lit(0))
 
-    names = [f"_s{i}" for i in range(6)]
-    out = df.withColumns(dict(zip(names, stops)))
-    forward, reverse = pick([F.col(n) for n in names[:3]], 1), pick([F.col(n) for n in names[3:]], -1)
-    out = out.withColumn("reading_frame", F.coalesce(forward, reverse) if try_rc else forward).drop(*names)
+    out = df.withColumn("_s", Q.stop_counts(F.col(seq), code))
+    at = [F.get("_s", F.lit(i)) for i in range(6)]
+    forward, reverse = pick(at[:3], 1), pick(at[3:], -1)
+    out = out.withColumn("reading_frame", F.coalesce(forward, reverse) if try_rc else forward).drop("_s")
     if draws == "remove":
         return out.withColumn("reading_frame", F.nullif("reading_frame", F.lit(0)))
     counts = out.filter("reading_frame is not null and reading_frame > 0").groupBy("reading_frame").agg(F.count(F.lit(1)).alias("n"))
