@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curaspark.functions.text import BLANK, missing, rank_key
 from curaspark.llm.skew import hot_join
@@ -19,7 +20,7 @@ NO_SCORE = 2**63 - 1
 _BITS_OF_100 = int(np.float64(100.0).view(np.int64))
 
 
-@F.pandas_udf("bigint")
+@F.pandas_udf(T.LongType())
 def score_key(q: pd.Series) -> pd.Series:
     """Order-preserving 64 bits of a score from 0 to 100, the best first; what is no such score comes last."""
     x = q.to_numpy(np.float64, na_value=np.nan)
