@@ -120,7 +120,7 @@ def absorbed(df: DataFrame, group: list[str], key: str, seq: str, k: int = 32) -
     for size in [*[r["_l"] for r in lengths], k]:
         short = one.filter((F.col("_l") == size) if size < k else (F.col("_l") >= k)).select(*group, F.col("_k").alias("small"), F.col("_s").alias("small_s"), F.substring("_s", 1, size).alias("_a"))
         if size == 0:
-            pairs = short.join(one.groupBy(*group).agg(F.max(F.struct("_l", "_s", "_k")).alias("m")).filter("m._l > 0"), group).select(*group, "small", F.col("m._k").alias("large"), F.col("m._l").alias("_l"))
+            pairs = short.join(one.groupBy(*group).agg(F.min(F.struct((-F.col("_l")).alias("l"), "_k")).alias("m")).filter("m.l < 0"), group).select(*group, "small", F.col("m._k").alias("large"), (-F.col("m.l")).alias("_l"))
             held.append(pairs)
             continue
         anchors = short.select(*group, "_a").distinct()

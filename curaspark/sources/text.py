@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from curaspark import schemas
-from curaspark.functions.seq import dealigned
 
 
 def _records(spark: SparkSession, path: str, sep: str) -> DataFrame:
@@ -134,7 +132,7 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
     """name, seq of four-line records. Lines are numbered in each file, which is read as one piece: the format has no marker to split at."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("i", "l"), F.input_file_name().alias("f"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("i", "l"), F.input_file_name().alias("f"))
     g = lines.withColumn("r", F.floor(F.col("i") / 4)).groupBy("f", "r").agg(F.max(F.when(F.col("i") % 4 == 0, F.col("l"))).alias("h"), F.max(F.when(F.col("i") % 4 == 1, F.col("l"))).alias("seq"))
     return g.filter(F.startswith("h", F.lit("@"))).select(F.substr("h", F.lit(2)).alias("name"), "seq")
 
@@ -154,14 +152,14 @@ def read_gfa(spark: SparkSession, path: str) -> DataFrame:
 
 def read_gff(spark: SparkSession, path: str) -> DataFrame:
     """name, seq of the FASTA part behind '##FASTA'."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     rec = whole.select(F.explode(F.split(F.concat(F.lit("\n"), F.regexp_extract("value", r"(?s)##FASTA\s*\n(.*)$", 1)), "\n>")).alias("r")).filter(F.trim("r") != "")
     head = F.substring_index("r", "\n", 1)
     return rec.select(F.trim(head).alias("name"), F.regexp_replace(F.substr("r", F.length(head) + 1), r"\s", "").alias("seq"))
 
 
 def _aligned(spark: SparkSession, path: str, line: str) -> DataFrame:
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("i", "l"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("i", "l"))
     rows = lines.select("i", F.regexp_extract("l", line, 1).alias("name"), F.regexp_extract("l", line, 2).alias("s")).filter("name <> ''")
     return rows.groupBy("name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x.s), "").alias("seq"))
 
@@ -199,12 +197,3 @@ def read_any(spark: SparkSession, path: str, mask: bool = False, case: str | Non
     if case:
         seq = {"lower": F.lower, "upper": F.upper}[case](seq)
     return df.withColumn("seq", seq)
-
-
-def without_gaps(df: DataFrame) -> DataFrame:
-    return df.withColumn("seq", dealigned(F.col("seq")))
-
-
-def numbered(df: DataFrame, order: list[str]) -> DataFrame:
-    """df with ingest_order from 1 in the order given, which must be total. For small inputs: one task sorts them."""
-    return df.withColumn("ingest_order", F.row_number().over(W.orderBy(*order)))
