@@ -128,6 +128,7 @@ class NameIndex:
             for n in range(STEM, len(word) + 1):
                 stems[word[:n]].add(word)
         self.stems = stems
+        self.longest = max(map(len, self.meanings), default=0)
         self.alike: dict[str, set[str]] = defaultdict(set)
         for word in self.meanings:
             self.alike[word.replace("l", "i")].add(word)
@@ -143,6 +144,8 @@ class NameIndex:
 
     def words(self, form: str) -> list[tuple[float, int, str]]:
         """Listed words for a form, best first: (cost, -frequency, word)."""
+        if len(form) > self.longest + self.edits:
+            return []  # further than the bound from every listed word
         if form in self.meanings:
             return [(0.0, -self.often[form], form)]
         end = re.fullmatch(rf"([a-z]{{3,}}?){ENDINGS}s?", form)

@@ -60,7 +60,7 @@ def reliability(votes: DataFrame, prior: list[float]) -> list[float]:
     """
     k = len(prior)
     total = votes.agg(*[F.sum(F.col("n")[i]).alias(f"t{i}") for i in range(k)]).first()
-    weights, before = [max(p, 0.01) for p in prior], None
+    weights, before = [1 + 0.1 * p for p in prior], None  # a plain vote at first, ties to the more trusted
     for _ in range(MAX_ROUNDS):
         agree = tuple(chosen(votes, weights).agg(*[F.sum(F.col("n")[i]) for i in range(k)]).first())
         if agree == before or agree[0] is None:
@@ -83,7 +83,7 @@ def survivors(lineage: DataFrame, source_trust: DataFrame) -> DataFrame:
 
     Rows are one record when accession() and taxon() agree; rows where either is null are left to be records of their own, and
     come out with null keys and their own values. A rank on which all rows with a value agree keeps it; where they differ truth
-    discovery over all such fields decides, starting from the trust of source_trust, so complete (a missing value never
+    discovery over all such fields decides, from a plain vote on and with the trust of source_trust as prior, so complete (a missing value never
     votes), trusted and recent (ties) values win. The representative is the row first by filled ranks, loaded_at, trust
     and smallest row_id; dominates tells that it is no worse than each other row in all three and better in one. An
     unknown or null source is trusted less than any other; a null loaded_at is earlier than any other. An empty table gives no rows. Columns
