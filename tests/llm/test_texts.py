@@ -210,3 +210,17 @@ def test_restored_table(spark, restorer):
 def test_fit_on_an_empty_table(spark):
     r = mojibake.fit(docs(spark, []), "text")
     assert r.restore("abc") == (False, None) and r.restore("�")[0]
+
+
+@pytest.mark.parametrize("read", ["latin-1", "mac-roman", "cp437", "cp850"])
+def test_garbled_beside_clean_japanese(restorer, read):
+    a, b, c = LANGS["ja"].split("。")[:3]
+    bad = garble(b, "utf-8", read)
+    for left, right in ((a, c), (a, ""), ("", c)):
+        assert restorer.restore(left + "。" + bad + "。" + right) == (True, left + "。" + b + "。" + right)
+        assert restorer.restore(left + "。" + b + "。" + right) == (False, None)
+    assert mojibake.looks_reread(a + bad + c) and not mojibake.looks_reread(a + b + c)
+
+
+def test_garbled_glued_to_another_script(restorer):
+    assert restorer.restore(f"Самка/{garble('größer', 'utf-8', 'cp1252')}/самца") == (True, "Самка/größer/самца")
