@@ -160,20 +160,23 @@ def diagonal_identity(a: pd.Series, b: pd.Series, shift: pd.Series) -> pd.Series
     return pd.Series(out)
 
 
-def clusters(df: DataFrame, key: str, seq: str, threshold: float = 0.97, coverage: float = 0.8, k: int = 14, per_seq: int = 60) -> DataFrame:
+def clusters(df: DataFrame, key: str, seq: str, threshold: float = 0.97, coverage: float = 0.8, k: int = 14, per_seq: int = 2000) -> DataFrame:
     """representative, member of all records: linear-time clustering over shared k-mers.
 
     Each distinct sequence gives its per_seq k-mers of lowest hash. For each k-mer the longest sequence (the least key among equals) is the centre, and the
     others are compared with it on the diagonal of the k-mer: identity of at least threshold over an overlap of at least `coverage` of the shorter one. A sequence goes to its best
     centre among those that no longer sequence took in; the rest represent themselves. Identical sequences share a cluster. Null sequences represent themselves.
 
-    Per k-mer only the centre is kept (an aggregation), so a k-mer of a third of all records costs no pairs; centres of such k-mers are broadcast.
+    Per k-mer only the centre is kept (an aggregation), so a k-mer of a third of all records costs no pairs; centres of such k-mers are broadcast. per_seq takes in
+    practically all k-mers of sequences up to 2000 bases; k-mers carry the sequence's place in the order of centres, a number, instead of its id.
     """
     kind = dict(df.dtypes)[key]
     base = df.filter(F.col(seq).isNotNull()).select(F.col(key).alias("id"), F.upper(Q.dealigned(F.col(seq))).alias("s"))
-    one = as_table(base.groupBy("s").agg(F.min("id").alias("id")).withColumn("n", F.length("s")))
-    grams, rows = counted_table(spread(one).select("id", "n", F.explode(_lowest_kmers("s", F.lit(k), F.lit(per_seq))).alias("g")).select("id", "n", "g.h", "g.at"))
-    centre = grams.groupBy("h").agg(F.min(F.struct((-F.col("n")).alias("m"), "id", "at")).alias("c"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", F.col("c.id").alias("centre"), F.col("c.at").alias("c_at"))
+    distinct = base.groupBy("s").agg(F.min("id").alias("first")).withColumn("n", F.length("s"))
+    # Numbers rise with the sorted partitions, so the least of them is the longest sequence, the least key among equals.
+    one = as_table(distinct.orderBy(F.desc("n"), "first").withColumn("id", F.monotonically_increasing_id()))
+    grams, rows = counted_table(spread(one).select("id", F.explode(_lowest_kmers("s", F.lit(k), F.lit(per_seq))).alias("g")).select("id", "g.h", "g.at"))
+    centre = grams.groupBy("h").agg(F.min(F.struct("id", "at")).alias("c"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", F.col("c.id").alias("centre"), F.col("c.at").alias("c_at"))
     met = _lookup(grams, "h", centre, rows).filter("centre is not null and centre <> id")
     pairs = as_table(met.select("id", "centre", (F.col("c_at") - F.col("at")).alias("shift")).groupBy("id", "centre", "shift").agg(F.count(F.lit(1)).alias("k")))
     best = pairs.groupBy("id", "centre").agg(F.max(F.struct("k", "shift")).alias("b")).select("id", "centre", "b.shift")
@@ -183,7 +186,7 @@ def clusters(df: DataFrame, key: str, seq: str, threshold: float = 0.97, coverag
     linked = as_table(scored.filter(overlap >= coverage * F.least("n1", "n2")).withColumn("i", diagonal_identity("s1", "s2", "shift")).filter(F.col("i") >= threshold).select("id", "centre", "i"))
     roots = linked.select("centre").distinct().join(linked.select(F.col("id").alias("centre")).distinct(), "centre", "left_anti")
     taken = linked.join(roots, "centre").groupBy("id").agg(F.min(F.struct((-F.col("i")).alias("m"), "centre")).alias("c")).select("id", F.col("c.centre").alias("centre"))
-    reps = one.join(taken, "id", "left").select("s", F.coalesce("centre", "id").alias("representative"))
+    reps = one.join(taken, "id", "left").withColumn("centre", F.coalesce("centre", "id")).join(one.select(F.col("id").alias("centre"), F.col("first").alias("representative")), "centre").select("s", "representative")
     out = base.join(reps, "s").select("representative", F.col("id").alias("member"))
     none = df.filter(F.col(seq).isNull()).select(F.col(key).cast(kind).alias("representative"), F.col(key).alias("member"))
     return out.unionByName(none)

@@ -110,6 +110,20 @@ def test_clusters(spark):
     assert similarity.clusters(spark.createDataFrame([], "k int, s string"), "k", "s").count() == 0
 
 
+def test_short_records_inside_a_long_one_share_its_cluster(spark):
+    rng = np.random.default_rng(7)
+    long = "".join(rng.choice(list("ACGT"), 8000))
+    rows = [(0, long)]
+    for i in range(1, 31):
+        at = int(rng.integers(0, 7800))
+        x = list(long[at : at + 200])
+        for p in rng.choice(200, 4, replace=False):
+            x[p] = "ACGT"[("ACGT".index(x[p]) + 1) % 4]
+        rows.append((i, "".join(x)))
+    got = {r.member: r.representative for r in similarity.clusters(spark.createDataFrame(rows, "k int, s string"), "k", "s").collect()}
+    assert got == {k: 0 for k, _ in rows}
+
+
 def plain_overlap(a, b):
     """Score of the best overlap alignment by the plain recurrence."""
     n, m = len(a), len(b)
