@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curaspark.config import Params
 from curaspark.functions import headers
 from curaspark.functions.seq import translated
 from curaspark.functions.text import RANKS
@@ -91,8 +92,9 @@ def lca_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def idtaxa_train(spark: SparkSession, d: str) -> DataFrame:
-    """Problem sequences of a classifier trained on all sequences."""
-    _, problems, _ = classifier.train(C._bold(spark, d), max_group_size=5, max_iterations=2)
+    """Problem sequences of a classifier trained on all sequences, with the defaults of a run."""
+    p = Params()
+    _, problems, _ = classifier.train(C._bold(spark, d), max_group_size=p.idtaxa_max_group_size, max_iterations=p.idtaxa_max_iterations, allow_group_removal=p.idtaxa_allow_group_removal, seed=p.seed)
     return problems
 
 

@@ -42,3 +42,14 @@ def test_query(spark, db, name):
     if name in SQL:
         cur = db.execute(SQL[name])
         assert got == rows([c[0] for c in cur.description], cur.fetchall())
+
+
+def test_idtaxa_train_is_the_whole_job(monkeypatch):
+    from curaspark.config import Params
+    from curaspark.queries import models
+
+    given = {}
+    monkeypatch.setattr(models.C, "_bold", lambda spark, d: None)
+    monkeypatch.setattr(models.classifier, "train", lambda df, **kw: given.update(kw) or (None, None, []))
+    QUERIES["idtaxa_train"](None, D)
+    assert (given["max_group_size"], given["max_iterations"]) == (Params().idtaxa_max_group_size, Params().idtaxa_max_iterations) == (10, 3)
