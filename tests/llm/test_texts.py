@@ -212,6 +212,47 @@ def test_fit_on_an_empty_table(spark):
     assert r.restore("abc") == (False, None) and r.restore("�")[0]
 
 
+def test_every_span_of_a_long_text_is_restored(restorer):
+    """However many garbled stretches there are, none is left over."""
+    words = LANGS["de"].split(" ")[:9]
+    good = " ".join(words)
+    bad = garble(good, "utf-8", "cp1252")
+    text = " ".join(f"{bad} plain words between the parts, {good} no. {i};" for i in range(250))
+    assert restorer.restore(text) == (True, text.replace(bad, good))
+
+
+def test_margin_has_the_fewest_errors():
+    clean, garbled = {0: 9000, 3: 50, 8: 5}, {12: 3, 20: 40, 60: 900, mojibake.TOP: 5000}
+    margin, above, below = mojibake.best_margin(clean, garbled, 1000)
+    assert 4.0 <= margin < 10.0 and above == 0 and below <= 3 / 5943
+    # a tenth of garbled texts among the clean ones neither cuts anything off nor moves the margin
+    assert mojibake.best_margin(clean | {mojibake.TOP: 900}, garbled, 1000)[0] == margin
+    assert mojibake.best_margin({}, {}, 0)[0] > 4
+
+
+def test_planted_parts_can_be_undone():
+    for text in LANGS.values():
+        bad = mojibake.planted(text)
+        assert bad is not None and bad != text
+    assert mojibake.planted("ascii") is None
+
+
+def test_fit_holds_texts_out(restorer):
+    false, missed = restorer.rates
+    assert false <= 0.01 and missed <= 0.2
+
+
+def test_lost_signs_are_judged_by_the_model(restorer):
+    """A lost letter in a word is far likelier than a sign that the writer meant; what the model has seen meant is no case."""
+    assert restorer.lost("ein gr�ßer Ort") > restorer.margin
+    meant = mojibake.Restorer(mojibake.CharModel.of(mojibake._count_grams(["the sign � on it, the sign � on it"] * 2000)), restorer.margin)
+    assert meant.restore("the sign � on it") == (False, None)
+
+
+def test_lost_blanks_are_no_reading(restorer):
+    assert restorer.restore("5\xa0km from here") == (False, None)
+
+
 @pytest.mark.parametrize("read", ["latin-1", "mac-roman", "cp437", "cp850"])
 def test_garbled_beside_clean_japanese(restorer, read):
     a, b, c = LANGS["ja"].split("。")[:3]
@@ -219,6 +260,7 @@ def test_garbled_beside_clean_japanese(restorer, read):
     for left, right in ((a, c), (a, ""), ("", c)):
         assert restorer.restore(left + "。" + bad + "。" + right) == (True, left + "。" + b + "。" + right)
         assert restorer.restore(left + "。" + b + "。" + right) == (False, None)
+    assert restorer.restore(f"{a}。{bad}。{c}。{bad}。{a}") == (True, f"{a}。{b}。{c}。{b}。{a}")
     assert mojibake.looks_reread(a + bad + c) and not mojibake.looks_reread(a + b + c)
 
 
