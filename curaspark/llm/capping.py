@@ -17,16 +17,30 @@ from curaspark.session import as_table, counted_table, lookup_join
 
 #: The score key of a row without a score; larger than that of any score.
 NO_SCORE = 2**63 - 1
-_BITS_OF_100 = int(np.float64(100.0).view(np.int64))
 
 
-@F.pandas_udf(T.LongType())
-def score_key(q: pd.Series) -> pd.Series:
-    """Order-preserving 64 bits of a score from 0 to 100, the best first; what is no such score comes last."""
-    x = q.to_numpy(np.float64, na_value=np.nan)
-    ok = (x >= 0) & (x <= 100)
-    bits = np.where(ok, x + 0.0, 0.0).view(np.int64)
-    return pd.Series(np.where(ok, _BITS_OF_100 - bits, NO_SCORE))
+def score_key(score: Column, low: float = 0.0, high: float = 100.0) -> Column:
+    """Order-preserving 64 bits of a score from low to high, the best first; what is no such score (null and NaN as well) comes last.
+
+    The keys have 63 bits and no sign, so a range may not reach from below 0 to above it.
+    """
+    if not low <= high or low < 0 < high:
+        raise ValueError("the range of scores is empty or has scores below and above 0")
+
+    @F.pandas_udf(T.LongType())
+    def key(q: pd.Series) -> pd.Series:
+        x = q.to_numpy(np.float64, na_value=np.nan)
+        ok = (x >= low) & (x <= high)
+        bits = (np.where(ok, x, low) + 0.0).view(np.int64)
+        bits = np.where(bits < 0, np.int64(-(2**63)) - bits, bits)  # negative scores in their order below 0
+        return pd.Series(np.where(ok, _top(high) - bits, NO_SCORE))
+
+    return key(score.cast("double"))
+
+
+def _top(high: float) -> int:
+    bits = int(np.float64(high + 0.0).view(np.int64))
+    return bits if bits >= 0 else -(2**63) - bits
 
 
 def species_key(species: Column, genus: Column) -> Column:
@@ -75,18 +89,22 @@ def _select(rows: DataFrame, state: DataFrame, first: int) -> DataFrame:
     return reduce(DataFrame.unionByName, done)
 
 
-def over_cap(df: DataFrame, who: Column, row_id: str, score: Column, cap: int) -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped) of the contributors with more than `cap` rows: row_id, who.
+def over_cap(df: DataFrame, who: Column, row_id: str, score: Column, cap: int | None = None, share: float | None = None, scores: tuple[float, float] = (0.0, 100.0)) -> tuple[DataFrame, DataFrame]:
+    """(kept, dropped) of the contributors with more rows than they may have: row_id, who.
 
-    kept are each contributor's `cap` rows of highest score, the smaller row_id first among equals; scores outside 0..100, null and
+    A contributor may have `cap` rows, or the given share of all rows with a contributor (rounded down, one at least), or the smaller number of both. kept
+    are its rows of highest score, the smaller row_id first among equals; scores outside of `scores`, null and
     NaN come last and are equal to each other. Rows without contributor are in neither, nor are those of contributors with no
-    more than cap rows. row_id must be a unique integer. An empty table gives two empty tables.
+    more than that. row_id must be a unique integer. An empty table gives two empty tables.
 
     Score and id are order-preserving 64-bit keys. Equal scores of a contributor are counted first, the cutoff score is found byte by
     byte on these counts, then the cutoff id byte by byte among the rows at that score. So only counts of at most 256 buckets a
     contributor are ever gathered, and rows are compared with their cutoff at the end.
     """
-    rows, total = counted_table(df.select(F.col(row_id).cast("bigint").alias("row_id"), who.alias("who"), score_key(score.cast("double")).alias("key")).filter("who is not null"))
+    if cap is None and share is None:
+        raise ValueError("give a cap, a share or both")
+    rows, total = counted_table(df.select(F.col(row_id).cast("bigint").alias("row_id"), who.alias("who"), score_key(score, *scores).alias("key")).filter("who is not null"))
+    cap = min(c for c in (cap, None if share is None else max(1, int(share * total))) if c is not None)
     large = as_table(rows.groupBy("who").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cap))
     rows = as_table(hot_join(rows, large, ["who"], "n", total))
     need = large.select("who", F.lit(cap).cast("bigint").alias("need"))
@@ -109,7 +127,7 @@ def over_cap(df: DataFrame, who: Column, row_id: str, score: Column, cap: int) -
     return judged.filter("keep").drop("keep"), judged.filter("not keep").drop("keep")
 
 
-def capped(df: DataFrame, who: Column, row_id: str, score: Column, cap: int) -> DataFrame:
-    """All rows of df but those beyond the cap of their contributor; rows without contributor stay. Columns as in df."""
-    _, dropped = over_cap(df, who, row_id, score, cap)
+def capped(df: DataFrame, who: Column, row_id: str, score: Column, cap: int | None = None, share: float | None = None, scores: tuple[float, float] = (0.0, 100.0)) -> DataFrame:
+    """All rows of df but those beyond the cap or share of their contributor (see over_cap()); rows without contributor stay. Columns as in df."""
+    _, dropped = over_cap(df, who, row_id, score, cap, share, scores)
     return df.join(dropped.select(F.col("row_id").alias(row_id)), row_id, "left_anti")
