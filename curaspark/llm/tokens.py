@@ -19,15 +19,16 @@ from curaspark.session import spread
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 #: Pieces whose ids a worker keeps; least recently used ones go first.
 CACHE = 1 << 19
+#: Largest vocabulary file, in bytes.
+MAX_VOCABULARY = 64 << 20
 # Fixed value: how the public byte-level vocabularies cut a text into pieces before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _FAR = 1 << 62
 
 
-def load_ranks(path: str) -> dict[bytes, int]:
-    """Token bytes to rank, from a file with base64 tokens and ranks."""
-    with open(path, "rb") as f:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+def load_ranks(data: bytes) -> dict[bytes, int]:
+    """Token bytes to rank, from the content of a file with base64 tokens and ranks."""
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, data.splitlines())}
 
 
 def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -90,8 +91,8 @@ def merge_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 class Encoder:
     """Texts to ids. Pieces repeat, so each is merged once while it stays in the cache."""
 
-    def __init__(self, path: str, pattern: str = PATTERN):
-        self.ranks = load_ranks(path)
+    def __init__(self, data: bytes, pattern: str = PATTERN):
+        self.ranks = load_ranks(data)
         self.pieces = regex.compile(pattern).finditer
         self.piece = lru_cache(CACHE)(lambda p: tuple(merge_piece(p.encode("utf-8", "surrogatepass"), self.ranks)))
 
@@ -106,7 +107,7 @@ class Encoder:
 
 
 def vocabulary(name: str, folder: str | None = None) -> str:
-    """Path of a vocabulary file that every worker can open; its existence is checked here."""
+    """Path of a vocabulary file in the driver; its content, some megabytes at most, is broadcast to the workers."""
     path = os.path.join(folder or TOKENIZERS, name)
     if not os.path.exists(path):
         spec = importlib.util.find_spec("public_tokenizers")
@@ -116,9 +117,21 @@ def vocabulary(name: str, folder: str | None = None) -> str:
     return path
 
 
+def _content(path: str) -> bytes:
+    if os.path.getsize(path) > MAX_VOCABULARY:
+        raise ValueError(f"{path} is larger than {MAX_VOCABULARY} bytes")
+    with open(path, "rb") as f:
+        return f.read()
+
+
 @lru_cache(2)
+def _encoder_of(data: bytes) -> Encoder:
+    """The encoder of a vocabulary; a worker keeps it, and so the pieces it has met, from task to task."""
+    return Encoder(data)
+
+
 def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+    return _encoder_of(_content(path))
 
 
 def encoded(df: DataFrame, row_id: str, text: str, path: str) -> DataFrame:
@@ -128,8 +141,10 @@ def encoded(df: DataFrame, row_id: str, text: str, path: str) -> DataFrame:
     shuffle; workers keep a table of the pieces they have met. Columns other than the two play no part.
     """
 
+    shared = df.sparkSession.sparkContext.broadcast(_content(path))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path).encode
+        encode = _encoder_of(shared.value).encode
         for b in batches:
             ids = [encode(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=[row_id, "ids"])
@@ -141,8 +156,10 @@ def encoded(df: DataFrame, row_id: str, text: str, path: str) -> DataFrame:
 def token_counts(df: DataFrame, row_id: str, text: str, path: str) -> DataFrame:
     """row_id, n_tokens (int): the number of ids that encoded() gives, without sending them on."""
 
+    shared = df.sparkSession.sparkContext.broadcast(_content(path))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path).encode
+        encode = _encoder_of(shared.value).encode
         for b in batches:
             n = [len(encode(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int32())], names=[row_id, "n_tokens"])

@@ -17,7 +17,7 @@ CLASH = ["ids", "n_tokens", "size", "part", "container", "cap", "garbled", "rest
 def reference():
     import tiktoken
 
-    e = tokens.Encoder(PATH)
+    e = tokens._encoder(PATH)
     return e, tiktoken.Encoding("own", pat_str=tokens.PATTERN, mergeable_ranks=e.ranks, special_tokens={})
 
 
@@ -90,6 +90,24 @@ def test_plan_uses_every_item_once(counts):
     assert set(bins) == set(range(len(bins))) and (len(bins) - 1) * 25 <= total
 
 
+def test_shares_lose_nothing_and_waste_little(spark):
+    """Planned in many tasks: every item once, no container over, nearly as few as planned in one go."""
+    rng = random.Random(9)
+    counts = {s: rng.randrange(1, 9) for s in rng.sample(range(1, 2000), 700)}
+    df = spark.createDataFrame([("a", s, c) for s, c in counts.items()] + [("b", 3, 5)], "pack_name string, s int, c bigint")
+    got = packing.planned(df, {"a": 2000, "b": 10, "c": 7}, share=60)
+    assert set(got) == {"a", "b", "c"} and got["c"] == []
+    bins, used = Counter(), Counter()
+    for s, a, b, k, first in got["a"]:
+        assert a == used[s]
+        used[s] = b
+        for i in range((b - a) // k):
+            bins[first + i] += s * k
+    assert used == Counter(counts) and max(bins.values()) <= 2000 and set(bins) == set(range(len(bins)))
+    once = packing.plan(dict(counts), 2000)
+    assert len(bins) <= 1.02 * len({first + i for _, a, b, k, first in once for i in range((b - a) // k)}) + 1
+
+
 def packed(spark, sizes, caps, **kw):
     items = spark.createDataFrame(list(enumerate(sizes)), "id bigint, n int").withColumns({c: F.lit("clash") for c in CLASH if c != "n"})
     packs = spark.createDataFrame(caps, "pack_name string, capacity_tokens int")
@@ -122,6 +140,8 @@ def test_packed_table(spark, monkeypatch):
 def test_packed_odd_tables(spark):
     assert packed(spark, [], [("a", 10)]) == [] and packed(spark, [3, 4], []) == []
     assert [(r.size, r.container) for r in packed(spark, [None, 0], [("a", 10)])] == [(0, None)] * 2
+    many = packed(spark, [3, 4, 5], [(f"p{i}", 7) for i in range(40)])
+    assert len(many) == 120 and all(len({r.container for r in many if r.pack_name == f"p{i}"}) == 2 for i in range(40))
     with pytest.raises(ValueError):
         packed(spark, [1], [("a", packing.MAX_CAPACITY + 1)])
 
