@@ -12,8 +12,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curaspark.session import as_table, lookup_join
+
 #: Most keys whose dictionary is sent to every task; beyond it the JVM's partial aggregation takes over.
 DICTIONARY_KEYS = 1_000_000
+#: The lower bits of a number; sums of 2^27 of them, and of the upper bits of 2^15 numbers (a batch has 10,000), are exact in doubles.
+HALF = (1 << 26) - 1
 #: Slots of one array block, the unit of the reduction.
 BLOCK = 8192
 
@@ -51,7 +55,10 @@ def dense_key_stats(df: DataFrame, keys: dict[str, Column], sums: dict[str, Colu
                 code = pc.fill_null(pc.index_in(b.column(i), value_set=w), len(w)).to_numpy(zero_copy_only=False)
                 acc[i][0] += np.bincount(code, minlength=len(w) + 1)
                 for j in range(n_sums):
-                    acc[i][1 + j] += np.bincount(code, weights=weights[j], minlength=len(w) + 1).astype(np.int64)
+                    # bincount adds doubles: in two halves each of a batch's sums is exact.
+                    low, high = weights[j] & HALF, weights[j] >> 26
+                    for part, shift in ((low, 0), (high, 26)):
+                        acc[i][1 + j] += np.bincount(code, weights=part, minlength=len(w) + 1).astype(np.int64) << shift
         out = []
         salt = TaskContext.get().partitionId() % 64
         for i, a in enumerate(acc):
@@ -89,8 +96,11 @@ def _by_jvm(flat: DataFrame, fields: list[str], sums: list[str]) -> DataFrame:
 
 
 def heavy_keys(stats: DataFrame, share: float) -> DataFrame:
-    """The keys of dense_key_stats that hold at least `share` of all rows, those with a null key included in 'all'."""
-    from pyspark.sql import Window as W
+    """The keys of dense_key_stats that hold at least `share` of all rows, those with a null key included in 'all'.
 
-    whole = stats.groupBy("key_field", "key_value").agg(F.sum("n_rows").alias("n"))
-    return whole.withColumn("_all", F.sum("n").over(W.partitionBy("key_field"))).filter(F.col("key_value").isNotNull() & (F.col("n") >= share * F.col("_all"))).select("key_field", "key_value")
+    The rows of a field are summed up, one number a field, and joined back; no task holds all keys of a field.
+    """
+    whole = as_table(stats.groupBy("key_field", "key_value").agg(F.sum("n_rows").alias("n")))
+    fields = whole.groupBy("key_field").agg(F.sum("n").alias("_all"))
+    heavy = lookup_join(whole.filter("key_value is not null"), fields, "key_field", salt=F.col("key_value"))
+    return heavy.filter(F.col("n") >= share * F.col("_all")).select("key_field", "key_value")

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from curaspark.functions.text import node_id, trimmed
-from curaspark.session import BROADCAST_ROWS, as_table, counted_table
+from curaspark.session import BROADCAST_ROWS, as_table, counted_table, scratch
 
 #: A parent with more than 1/HOT of the rows of a round is hot. There are fewer than HOT of them, so they are broadcast.
 HOT = 1024
@@ -56,8 +56,14 @@ def subtree_sizes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     Sizes go upward by pointer doubling: in round k every node that still has an ancestor 2^k steps up adds what it has
     gathered to that ancestor and then points 2^k further. So the rounds are the logarithm of the depth, and each is
     one aggregation and one join. Nodes that never run out of ancestors stay unprocessed: they are on a cycle or
-    below one, and those that others still point at once that set no longer shrinks are the cycles.
+    below one, and those that others still point at once that set no longer shrinks are the cycles. The tables of the rounds go at the end.
     """
+    with scratch(nodes.sparkSession) as keep:
+        sizes, cycles = _sizes_and_cycles(nodes)
+        return keep(sizes), keep(cycles)
+
+
+def _sizes_and_cycles(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     active = nodes.filter("parent is not null").select("id", F.col("parent").alias("up"), F.lit(1).cast("bigint").alias("size"))
     active, n = counted_table(active)
     image, adds, cycles = -1, [nodes.select("id", F.lit(1).cast("bigint").alias("size"))], None
@@ -85,14 +91,13 @@ def subtree_sizes(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _cycle_minima(nodes: DataFrame, cycles: DataFrame) -> DataFrame:
     """cycle_min_id, id: minima over 2^k steps, doubled until none changes."""
     now = as_table(nodes.join(cycles, "id", "left_semi").select("id", F.col("parent").alias("up"), F.col("id").alias("low")))
-    if now.isEmpty():
-        return now.select(F.col("low").alias("cycle_min_id"), "id")
-    while True:
+    while not now.isEmpty():
         other = now.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("low").alias("low2"))
         then = as_table(now.join(other, "up").select("id", F.col("next").alias("up"), F.least("low", "low2").alias("low"), (F.col("low2") < F.col("low")).alias("fell")))
-        if then.filter("fell").isEmpty():
-            return then.select(F.col("low").alias("cycle_min_id"), "id")
         now = then.drop("fell")
+        if then.filter("fell").isEmpty():
+            break
+    return as_table(now.select(F.col("low").alias("cycle_min_id"), "id"))
 
 
 def preorder(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
@@ -102,6 +107,11 @@ def preorder(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
     parent, so no task holds all children of a parent with a third of the rows. The places then add up
     downward along the path to the root, again by doubling.
     """
+    with scratch(nodes.sparkSession) as keep:
+        return keep(_preorder(nodes, sizes))
+
+
+def _preorder(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
     t = nodes.join(sizes, "id").withColumn("_p", F.coalesce("parent", F.lit(-1))).withColumn("_b", F.shiftright("id", SIBLINGS_LOG2))
     t = as_table(t)
     blocks = t.groupBy("_p", "_b").agg(F.sum("size").alias("_s")).withColumn("_before", F.sum("_s").over(W.partitionBy("_p").orderBy("_b")) - F.col("_s")).drop("_s")
@@ -121,7 +131,7 @@ def preorder(nodes: DataFrame, sizes: DataFrame) -> DataFrame:
         active = moved.filter("up is not null")
         n = active.count()
     lft = reduce(DataFrame.unionByName, done)
-    return whole.drop("off").join(lft, "id").select("id", "parent", "rank", F.col("off").alias("lft"), (F.col("off") + F.col("size") - 1).alias("rgt"))
+    return as_table(whole.drop("off").join(lft, "id").select("id", "parent", "rank", F.col("off").alias("lft"), (F.col("off") + F.col("size") - 1).alias("rgt")))
 
 
 def paths(ranges: DataFrame) -> DataFrame:

@@ -18,8 +18,15 @@ def _tnr(spark: SparkSession, d: str) -> DataFrame:
     return taxonomy.taxid_name_rank(taxonomy.tax_names(table(spark, d, "taxon_names")), taxonomy.node_ranks(table(spark, d, "nodes")))
 
 
+#: The ranked lineages of a folder, made once a session, as several queries of a run read them.
+_RANKED: dict[tuple[str, str], DataFrame] = {}
+
+
 def _ranked(spark: SparkSession, d: str) -> DataFrame:
-    return taxonomy.ranked_lineage(table(spark, d, "nodes"), taxonomy.tax_names(table(spark, d, "taxon_names")))
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _RANKED:
+        _RANKED[key] = as_table(taxonomy.ranked_lineage(table(spark, d, "nodes"), taxonomy.tax_names(table(spark, d, "taxon_names"))))
+    return _RANKED[key]
 
 
 def _bold(spark: SparkSession, d: str) -> DataFrame:
@@ -86,7 +93,7 @@ def gencodes(spark: SparkSession, d: str) -> DataFrame:
 
 def synonym_table(spark: SparkSession, d: str) -> DataFrame:
     """Synonyms at the seven ranks with the names of parent and grandparent."""
-    tnr, ranked = _tnr(spark, d), as_table(_ranked(spark, d))
+    tnr, ranked = _tnr(spark, d), _ranked(spark, d)
     return taxonomy.synonyms_with_parents(taxonomy.synonyms(table(spark, d, "taxon_names"), tnr), taxonomy.lineage_parents(ranked, tnr))
 
 
@@ -124,7 +131,7 @@ def identification(spark: SparkSession, d: str) -> DataFrame:
 
 def _matched(spark: SparkSession, d: str) -> DataFrame:
     df = ingest.identified(ingest.resolve_synonyms(table(spark, d, "bold_db_targets").select("bold_row_id", "bold_taxid", *RANKS), _synonyms(spark, d)))
-    return ingest.match_lineage(df, as_table(taxonomy.lineage_parents(as_table(_ranked(spark, d)), _tnr(spark, d))))
+    return ingest.match_lineage(df, as_table(taxonomy.lineage_parents(_ranked(spark, d), _tnr(spark, d))))
 
 
 def lineage_match(spark: SparkSession, d: str) -> DataFrame:
@@ -139,7 +146,7 @@ def matching_taxids(spark: SparkSession, d: str) -> DataFrame:
 
 def harmonised_headers(spark: SparkSession, d: str) -> DataFrame:
     """Headers of the extracted and harmonised rows."""
-    parents = as_table(taxonomy.lineage_parents(as_table(_ranked(spark, d)), _tnr(spark, d)))
+    parents = as_table(taxonomy.lineage_parents(_ranked(spark, d), _tnr(spark, d)))
     return ingest.harmonise_bold(_bold(spark, d), _synonyms(spark, d), parents).select("name", "seq")
 
 
@@ -151,7 +158,7 @@ def placeholder_digits(spark: SparkSession, d: str) -> DataFrame:
 def genbank_lineage(spark: SparkSession, d: str) -> DataFrame:
     """lineage rows with an NCBI id, with the taxonomy's ranks."""
     df = table(spark, d, "lineage").filter(F.col("taxid").rlike(r"^NCBI:\d+$")).select("row_id", F.substring("taxid", 6, 12).alias("tid"))
-    ranked = as_table(_ranked(spark, d))
+    ranked = _ranked(spark, d)
     return ingest.join_ranked_lineage(df, "tid", taxonomy.own_rank_filled(ranked, _tnr(spark, d)))
 
 
@@ -182,7 +189,7 @@ def header_formats(spark: SparkSession, d: str) -> DataFrame:
 def best_gencode_match(spark: SparkSession, d: str) -> DataFrame:
     """Genetic codes of all lineage rows, by id or by the best matching lineage."""
     records = table(spark, d, "lineage").select("row_id", "taxid", *[F.coalesce(rank_key(F.col(r)), F.lit("Unclassified")).alias(r) for r in RANKS])
-    codes = as_table(taxonomy.gencodes(as_table(_ranked(spark, d)), table(spark, d, "nodes")))
+    codes = as_table(taxonomy.gencodes(_ranked(spark, d), table(spark, d, "nodes")))
     return translation.assign_codes(records, codes).select("row_id", "gencode", "mtgencode", "plgencode", "hdgencode", "rank_matches", "match_tax_id")
 
 

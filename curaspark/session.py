@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +15,9 @@ BROADCAST_ROWS = 200_000
 
 
 def get_spark(app: str = "curaspark", cores: int | str = "*", **conf: str) -> SparkSession:
-    """A local session with the settings that a cluster would get from its own configuration."""
+    """A session with the settings that the operators expect. It is local with so many cores unless conf names a master (spark.master)."""
     b = (
-        SparkSession.builder.master(f"local[{cores}]")
+        SparkSession.builder.master(conf.pop("spark.master", f"local[{cores}]"))
         .appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
@@ -43,18 +44,46 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Tables made within scratch(), innermost last.
+_OPEN: list[list[str]] = []
+
+
 def as_table(df: DataFrame) -> DataFrame:
     """Write df to the shared folder and read it again: lineage ends there, and a lost executor costs no recomputation.
 
-    The files go when the JVM ends (deleteOnExit), so a long session needs room for all of them.
+    The files go at the end of the scratch() in which they were made, else when the JVM ends (deleteOnExit).
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._table_path = path
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator:
+    """Deletes the tables made within it when it ends; `keep` (what it yields) takes out one that as_table() returned."""
+    made: list[str] = []
+    _OPEN.append(made)
+
+    def keep(df: DataFrame) -> DataFrame:
+        made.remove(df._table_path)
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(df._table_path)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _OPEN.pop()
+        for path in made:
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def counted_table(df: DataFrame) -> tuple[DataFrame, int]:
@@ -86,11 +115,12 @@ def lookup_join(big: DataFrame, small: DataFrame, on: str, how: str = "inner", s
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df in at least as many partitions as there are cores, for work that costs far more than moving its rows."""
+    """df in at least as many partitions as there are cores, for work that costs far more than moving its rows.
+
+    Partitions are only counted where df comes from its files without a shuffle; counting others would run them.
+    """
     n = df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(x in plan for x in ("Join", "Aggregate", "Repartition", "Sort", "Window", "Deduplicate", "Distinct", "Limit", "FlatMap")):
+        return df.repartition(n)
     return df if df.rdd.getNumPartitions() >= n else df.repartition(n)
-
-
-def held(df: DataFrame) -> DataFrame:
-    """df kept on disk and in memory; only for what is cheap to make again."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
