@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curaspark.functions import headers
@@ -35,12 +33,15 @@ def write_by_lineage(df: DataFrame, path: str, ranks: list[str]) -> None:
     salted.repartition("lineage_hash", "_s").drop("_s").select(F.concat(F.lit(">"), "name", F.lit("\n"), "seq").alias("value"), "lineage_hash").write.mode("overwrite").partitionBy("lineage_hash").text(path)
 
 
-def write_model(model: dict, problems: DataFrame, groups: list[str], path: str) -> None:
-    """A trained classifier as JSON, its problem sequences as parquet and its problem groups as a line each."""
-    spark = problems.sparkSession
-    spark.createDataFrame([(json.dumps(model),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/model")
-    problems.write.mode("overwrite").parquet(f"{path}/problem_sequences")
-    spark.createDataFrame([(g,) for g in groups], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/problem_groups")
+def write_model(model: DataFrame, problems: DataFrame, groups: DataFrame, children: DataFrame, path: str) -> None:
+    """What classifier.train() returns and the tree of its records, as folders of parquet: model, problem_sequences, problem_groups, tree."""
+    for name, df in (("model", model), ("problem_sequences", problems), ("problem_groups", groups), ("tree", children)):
+        df.write.mode("overwrite").parquet(f"{path}/{name}")
+
+
+def read_model(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(model, tree) of write_model(), as classifier.classify() takes them."""
+    return spark.read.parquet(f"{path}/model"), spark.read.parquet(f"{path}/tree")
 
 
 def fates_chart(summary: DataFrame, width: int = 40) -> str:
