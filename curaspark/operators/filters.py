@@ -103,33 +103,78 @@ def rank_hash(ranks: list[str]) -> Column:
     return F.md5(F.concat_ws(";", *[F.coalesce(F.col(r), F.lit(UNCLASSIFIED)) for r in ranks]))
 
 
-def absorbed(df: DataFrame, group: list[str], key: str, seq: str, k: int = 32) -> DataFrame:
+#: Length of the k-mers whose hashes stand for a sequence, and how many neighbours of them give one.
+ANCHOR, WINDOW = 16, 16
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _minimizers(s: pd.Series) -> pd.Series:
+    """The least hash of each WINDOW neighbouring k-mers of a sequence, each once. All of a sequence's are also those of any that holds it."""
+    out = []
+    with np.errstate(over="ignore"):
+        for x in s:
+            code = np.frombuffer(x.encode(), np.uint8).astype(np.uint64)
+            n = len(code) - ANCHOR + 1
+            if n < WINDOW:
+                out.append([])
+                continue
+            h = np.zeros(n, np.uint64)
+            for i in range(ANCHOR):
+                h = h * np.uint64(0x100000001B3) + code[i : i + n]
+            h ^= h >> np.uint64(31)
+            h *= np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+            least = h[: n - WINDOW + 1].copy()
+            for i in range(1, WINDOW):
+                np.minimum(least, h[i : n - WINDOW + 1 + i], out=least)
+            out.append(np.unique(least.astype(np.int64)).tolist())
+    return pd.Series(out, dtype=object)
+
+
+def _contained(one: DataFrame) -> DataFrame:
+    """small, large: candidate pairs in a group of sequences long enough for minimizers. one: gid, id, s, l.
+
+    A sequence's rarest minimizer in its group is its anchor; one with a minimizer that nothing else of the group has is contained in nothing. Only ids, lengths and
+    hashes move; the pairs are those of the sequences that share the anchor and are longer.
+    """
+    own = as_table(one.select("gid", "id", "l", F.explode(_minimizers("s")).alias("h")))
+    often = own.groupBy("gid", "h").agg(F.count(F.lit(1)).alias("k"))
+    met = own.join(often, ["gid", "h"])
+    anchor = met.groupBy("gid", "id").agg(F.min(F.struct("k", "h")).alias("a"), F.first("l").alias("small_l")).filter("a.k > 1").select("gid", "a.h", F.col("id").alias("small"), "small_l")
+    return anchor.join(own.withColumnRenamed("id", "large"), ["gid", "h"]).filter("small_l < l").select("small", "large")
+
+
+def absorbed(df: DataFrame, group: list[str], key: str, seq: str) -> DataFrame:
     """key, count, absorbed_by of each record: identical and contained sequences of a group are absorbed by the longest sequence that holds them.
 
     Of identical sequences the one with the least key stays, a contained one goes to its longest container (the least
     key among equals); reverse complements are not looked at. count is 1 plus what a survivor absorbed, directly or through what it absorbed; it is null
     for the absorbed, and absorbed_by null for survivors. Null sequences stay. Empty sequences are held by any other of the group.
 
-    Distinct sequences meet over an anchor, the first k bases of the shorter one (all of one shorter than k is looked for by
-    its own first bases): the containers' k-mers that are anchors are joined to it, so only sequences that share k bases in the group are compared.
+    Distinct sequences meet over rare anchors (see _contained()), as numbers; their letters are fetched for the pairs that are left. Sequences shorter than
+    ANCHOR + WINDOW - 1 are looked up among all parts of their length, one pass for each such length.
     """
     base = df.filter(F.col(seq).isNotNull()).select(*[F.coalesce(F.col(g).cast("string"), F.lit("\0")).alias(g) for g in group], F.col(key).alias("_k"), F.col(seq).alias("_s"))
-    one = as_table(base.groupBy(*group, "_s").agg(F.min("_k").alias("_k"), F.count(F.lit(1)).alias("_n")).withColumn("_l", F.length("_s")))
-    held = []
-    lengths = one.filter(F.col("_l") < k).select("_l").distinct().orderBy("_l").limit(k).collect()
-    for size in [*[r["_l"] for r in lengths], k]:
-        short = one.filter((F.col("_l") == size) if size < k else (F.col("_l") >= k)).select(*group, F.col("_k").alias("small"), F.col("_s").alias("small_s"), F.substring("_s", 1, size).alias("_a"))
+    one = base.groupBy(*group, "_s").agg(F.min("_k").alias("_k"), F.count(F.lit(1)).alias("_n")).withColumn("l", F.length("_s"))
+    one = as_table(one.withColumn("gid", F.xxhash64(*group)).withColumn("id", F.monotonically_increasing_id()).withColumnRenamed("_s", "s"))
+    least = ANCHOR + WINDOW - 1
+    held = [_contained(one.filter(F.col("l") >= least).select("gid", "id", "s", "l"))]
+    lengths = one.filter(F.col("l") < least).select("l").distinct().orderBy("l").collect()  # fewer than least
+    for size in (r.l for r in lengths):
+        short = one.filter(F.col("l") == size).select("gid", F.col("id").alias("small"), F.col("s").alias("_a"))
         if size == 0:
-            pairs = short.join(one.groupBy(*group).agg(F.min(F.struct((-F.col("_l")).alias("l"), "_k")).alias("m")).filter("m.l < 0"), group).select(*group, "small", F.col("m._k").alias("large"), (-F.col("m.l")).alias("_l"))
-            held.append(pairs)
-            continue
-        anchors = short.select(*group, "_a").distinct()
-        long_ = one.filter(F.col("_l") > size).select(*group, F.col("_k").alias("large"), F.col("_s").alias("large_s"), "_l", F.explode(F.array_distinct(Q.kmers(F.col("_s"), size))).alias("_a")).join(anchors, [*group, "_a"], "left_semi")
-        pairs = short.join(long_, [*group, "_a"]).filter((F.length("small_s") < F.col("_l")) & F.contains("large_s", F.col("small_s")))
-        held.append(pairs.select(*group, "small", "large", "_l"))
-    best = reduce(DataFrame.unionByName, held).groupBy("small").agg(F.min(F.struct((-F.col("_l")).alias("l"), F.col("large").alias("k"))).alias("b")).select(F.col("small").alias("_k"), F.col("b.k").alias("large"))
+            top = one.groupBy("gid").agg(F.min(F.struct((-F.col("l")).alias("m"), "_k", "id")).alias("t")).filter("t.m < 0").select("gid", F.col("t.id").alias("large"))
+            held.append(short.join(top, "gid").select("small", "large"))
+        else:
+            parts = one.filter(F.col("l") > size).select("gid", F.col("id").alias("large"), F.explode(F.array_distinct(Q.kmers(F.col("s"), size))).alias("_a"))
+            held.append(parts.join(short, ["gid", "_a"]).select("small", "large"))
+    pairs = as_table(reduce(DataFrame.unionByName, held))
+    small = one.select(F.col("id").alias("small"), F.struct(*group).alias("g1"), F.col("s").alias("s1"))
+    large = one.select(F.col("id").alias("large"), F.struct(*group).alias("g2"), F.col("s").alias("s2"), "l", F.col("_k").alias("large_k"))
+    sure = pairs.join(small, "small").join(large, "large").filter((F.col("g1") == F.col("g2")) & F.contains("s2", "s1"))
+    best = sure.groupBy("small").agg(F.min(F.struct((-F.col("l")).alias("l"), F.col("large_k").alias("k"))).alias("b")).select(F.col("small").alias("id"), F.col("b.k").alias("large"))
     # The longest container of a sequence is itself contained in nothing, else that would be longer and hold it too.
-    given = as_table(one.join(best, "_k", "left").select(*group, "_s", F.col("_k").alias("_first"), "_n", "large"))
+    given = as_table(one.join(best, "id", "left").select(*group, F.col("s").alias("_s"), F.col("_k").alias("_first"), "_n", "large"))
     totals = given.groupBy(F.coalesce("large", "_first").alias("_k")).agg(F.sum("_n").alias("count"))
     rows = base.join(given.drop("_n"), [*group, "_s"])
     rows = rows.select("_k", F.when(F.col("large").isNotNull(), F.col("large")).when(F.col("_k") != F.col("_first"), F.col("_first")).alias("absorbed_by"))

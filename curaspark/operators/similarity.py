@@ -17,6 +17,8 @@ from curaspark.session import as_table, counted_table, spread
 
 # Match and mismatch of two bases, gap opening and extension of the overlap alignment.
 MATCH, MISMATCH, GAP_OPEN, GAP_EXTEND = 5.0, -4.0, 8.0, 2.0
+#: Diagonals to each side of the one that two sequences meet on, so the largest sum of inserted or deleted bases of a comparison with gaps.
+BAND = 12
 
 
 def _substitution() -> np.ndarray:
@@ -149,25 +151,103 @@ def _lowest_kmers(s: pd.Series, k: pd.Series, m: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
+#: Bits of the three sums that one number of the banded alignment holds: score, matches, columns.
+_SUM = 21
+_LOW = (1 << _SUM) - 1
+
+
+def banded_identity(a: list[str], b: list[str], shifts: list[int], band: int = BAND) -> tuple[np.ndarray, np.ndarray]:
+    """(identity, columns) of the best overlap alignment of each pair, within `band` diagonals to each side of the one where position i of a meets i + shift of b.
+
+    End gaps are free; a match scores 1, a mismatch -1, a gap -2 a base. Identity is matches over aligned columns, inner gaps included. All pairs are worked out together,
+    row by row; score, matches and columns add up in one number, so of equal scores the one with more matches counts.
+    """
+    n, width = len(a), 2 * band + 1
+    la, lb, shift = np.array([len(x) for x in a]), np.array([len(x) for x in b]), np.array(shifts)
+    x = np.full((n, max(la, default=0)), 1, np.uint8)
+    y = np.full((n, max(lb, default=0) + 1), 2, np.uint8)
+    for i, (s, t) in enumerate(zip(a, b)):
+        x[i, : len(s)] = np.frombuffer(s.encode(), np.uint8)
+        y[i, : len(t)] = np.frombuffer(t.encode(), np.uint8)
+    number = lambda score, match: (score << 2 * _SUM) + (match << _SUM) + 1
+    hit, miss, gap = number(1, 1), number(-1, 0), number(-2, 0)
+    none = -(1 << 61)
+    off = np.arange(width) - band
+    slope = gap * np.arange(width)
+    v = np.zeros((n, width), np.int64)
+    top = np.zeros(n, np.int64)
+    rows = np.arange(n)[:, None]
+    for i in range(x.shape[1]):
+        j = i + shift[:, None] + off
+        inside = (j >= 0) & (j < lb[:, None]) & (i < la)[:, None]
+        same = x[:, i, None] == y[rows, np.clip(j, 0, y.shape[1] - 1)]
+        # v holds the row above: on its diagonal the cell of j - 1, to the right of that the cell of j; cells before the first letters are 0.
+        diag = np.where(j == 0, 0, v) + np.where(same, hit, miss)
+        up = np.concatenate([v[:, 1:], np.full((n, 1), none)], 1) + gap
+        best = np.where(inside, np.maximum(diag, up if i else none), none)
+        best = np.maximum.accumulate(best - slope, 1) + slope
+        best = np.where(inside, best, none)
+        last = inside & ((j == lb[:, None] - 1) | (i == la - 1)[:, None])
+        top = np.maximum(top, np.where(last, best, none).max(1, initial=none))
+        v = np.where(inside, best, np.where(j < 0, 0, none))
+    columns, matches = top & _LOW, top >> _SUM & _LOW
+    return np.where(columns > 0, matches / np.maximum(columns, 1), 0.0), columns
+
+
 @F.pandas_udf(T.DoubleType())
-def diagonal_identity(a: pd.Series, b: pd.Series, shift: pd.Series) -> pd.Series:
-    """Share of equal letters on the diagonal where position i of a meets i + shift of b, over the shorter sequence's length in the overlap."""
-    out = []
-    for x, y, s in zip(a, b, shift):
+def overlap_share(a: pd.Series, b: pd.Series, shift: pd.Series, threshold: pd.Series, coverage: pd.Series) -> pd.Series:
+    """Identity of the overlap of two sequences near a diagonal, 0 where the overlap is less than `coverage` of the shorter one.
+
+    Pairs that reach the threshold on the diagonal itself are done; the others are aligned in the band with gaps.
+    """
+    out, rest = np.zeros(len(a)), []
+    for i, (x, y, s, t, c) in enumerate(zip(a, b, shift, threshold, coverage)):
         u, v = np.frombuffer(x.encode(), np.uint8), np.frombuffer(y.encode(), np.uint8)
         lo, hi = max(0, -s), min(len(u), len(v) - s)
-        out.append(float((u[lo:hi] == v[lo + s : hi + s]).mean()) if hi > lo else 0.0)
+        if hi > lo and hi - lo >= c * min(len(u), len(v)):
+            out[i] = float((u[lo:hi] == v[lo + s : hi + s]).mean())
+        if out[i] < t:
+            rest.append(i)
+    rest.sort(key=lambda i: len(a.iloc[i]))  # pairs of like length together
+    for at in range(0, len(rest), 512):
+        part = rest[at : at + 512]
+        got, columns = banded_identity([a.iloc[i] for i in part], [b.iloc[i] for i in part], [int(shift.iloc[i]) for i in part])
+        for i, identity, n in zip(part, got, columns):
+            if n >= coverage.iloc[i] * min(len(a.iloc[i]), len(b.iloc[i])):
+                out[i] = max(out[i], identity)
     return pd.Series(out)
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """u, v: of each node of an undirected graph that has an edge, but for the least of its component, the least node of its component. edges: u, v (numbers).
+
+    Large-star and small-star steps: every node hands its larger neighbours, then its smaller ones, to the least of them, until nothing changes; the rounds are about the
+    logarithm of the size. A node with a third of all edges is met by _lookup().
+    """
+    now, n = counted_table(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct())
+    state = None
+    while n:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large, k = counted_table(_lookup(both, "u", least, 2 * n).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = _lookup(large, "u", least, k).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        now, n = counted_table(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        before, state = state, (n, now.agg(F.bit_xor(F.xxhash64("u", "v"))).first()[0])
+        if state == before:
+            break
+    return now
+
+
 def clusters(df: DataFrame, key: str, seq: str, threshold: float = 0.97, coverage: float = 0.8, k: int = 14, per_seq: int = 2000) -> DataFrame:
     """representative, member of all records: linear-time clustering over shared k-mers.
 
     Each distinct sequence gives its per_seq k-mers of lowest hash. For each k-mer the longest sequence (the least key among equals) is the centre, and the
-    others are compared with it on the diagonal of the k-mer: identity of at least threshold over an overlap of at least `coverage` of the shorter one. A sequence goes to its best
-    centre among those that no longer sequence took in; the rest represent themselves. Identical sequences share a cluster. Null sequences represent themselves.
+    others are compared with it: overlap_share() of at least threshold near the diagonal that most shared k-mers lie on. Sequences that such links connect are a
+    cluster, so no link is lost; its longest sequence (the least key among equals) represents it. Identical sequences share a cluster. Null sequences represent themselves.
 
-    Per k-mer only the centre is kept (an aggregation), so a k-mer of a third of all records costs no pairs; centres of such k-mers are broadcast. per_seq takes in
+    Per k-mer only the centre is kept (an aggregation), so a k-mer of a third of all records costs no pairs; centres of such k-mers, and centres that many
+    sequences meet, are broadcast with their sequence. per_seq takes in
     practically all k-mers of sequences up to 2000 bases; k-mers carry the sequence's place in the order of centres, a number, instead of its id.
     """
     kind = dict(df.dtypes)[key]
@@ -178,15 +258,17 @@ def clusters(df: DataFrame, key: str, seq: str, threshold: float = 0.97, coverag
     grams, rows = counted_table(spread(one).select("id", F.explode(_lowest_kmers("s", F.lit(k), F.lit(per_seq))).alias("g")).select("id", "g.h", "g.at"))
     centre = grams.groupBy("h").agg(F.min(F.struct("id", "at")).alias("c"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", F.col("c.id").alias("centre"), F.col("c.at").alias("c_at"))
     met = _lookup(grams, "h", centre, rows).filter("centre is not null and centre <> id")
-    pairs = as_table(met.select("id", "centre", (F.col("c_at") - F.col("at")).alias("shift")).groupBy("id", "centre", "shift").agg(F.count(F.lit(1)).alias("k")))
-    best = pairs.groupBy("id", "centre").agg(F.max(F.struct("k", "shift")).alias("b")).select("id", "centre", "b.shift")
+    pairs = met.select("id", "centre", (F.col("c_at") - F.col("at")).alias("shift")).groupBy("id", "centre", "shift").agg(F.count(F.lit(1)).alias("k"))
+    best, rows = counted_table(pairs.groupBy("id", "centre").agg(F.max(F.struct("k", "shift")).alias("b")).select("id", "centre", "b.shift"))
     a, b = one.select("id", F.col("s").alias("s1"), F.col("n").alias("n1")), one.select(F.col("id").alias("centre"), F.col("s").alias("s2"), F.col("n").alias("n2"))
-    scored = best.join(a, "id").join(b, "centre")
+    scored = _lookup(best.join(a, "id"), "centre", b, rows)
     overlap = F.least(F.col("n1"), F.col("n2") - F.col("shift")) - F.greatest(F.lit(0), -F.col("shift"))
-    linked = as_table(scored.filter(overlap >= coverage * F.least("n1", "n2")).withColumn("i", diagonal_identity("s1", "s2", "shift")).filter(F.col("i") >= threshold).select("id", "centre", "i"))
-    roots = linked.select("centre").distinct().join(linked.select(F.col("id").alias("centre")).distinct(), "centre", "left_anti")
-    taken = linked.join(roots, "centre").groupBy("id").agg(F.min(F.struct((-F.col("i")).alias("m"), "centre")).alias("c")).select("id", F.col("c.centre").alias("centre"))
-    reps = one.join(taken, "id", "left").withColumn("centre", F.coalesce("centre", "id")).join(one.select(F.col("id").alias("centre"), F.col("first").alias("representative")), "centre").select("s", "representative")
+    near = scored.filter(overlap + BAND >= coverage * F.least("n1", "n2")).withColumn("i", overlap_share("s1", "s2", "shift", F.lit(threshold), F.lit(coverage)))
+    linked = as_table(near.filter(F.col("i") >= threshold).select("id", "centre"))
+    roots = components(linked.select(F.col("id").alias("u"), F.col("centre").alias("v"))).select(F.col("u").alias("id"), F.col("v").alias("root"))
+    reps = one.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    reps, rows = counted_table(reps.select("s", "root"))
+    reps = _lookup(reps, "root", one.select(F.col("id").alias("root"), F.col("first").alias("representative")), rows).select("s", "representative")
     out = base.join(reps, "s").select("representative", F.col("id").alias("member"))
     none = df.filter(F.col(seq).isNull()).select(F.col(key).cast(kind).alias("representative"), F.col(key).alias("member"))
     return out.unionByName(none)

@@ -73,9 +73,9 @@ def test_centres_in_blocks(spark):
 def test_absorbed_matches_brute_force(spark):
     rng = np.random.default_rng(3)
     base = "".join(rng.choice(list("ACGT"), 200))
-    seqs = [base, base, base[10:120], base[20:60], base[30:40], "", "ACGT" * 20, None, base[:199] + "N", base[5:45]] + ["".join(rng.choice(list("ACGT"), 50)) for _ in range(5)]
+    seqs = [base[3:35], base[7:38], base[:31], base[100:131] + base[140:171], base, base, base[10:120], base[20:60], base[30:40], "", "ACGT" * 20, None, base[:199] + "N", base[5:45]] + ["".join(rng.choice(list("ACGT"), 50)) for _ in range(5)]
     rows = [(i, "a" if i % 7 else None, s) for i, s in enumerate(seqs)]
-    got = {r.k: (r["count"], r.absorbed_by) for r in filters.absorbed(spark.createDataFrame(rows, "k int, g string, s string"), ["g"], "k", "s", 16).collect()}
+    got = {r.k: (r["count"], r.absorbed_by) for r in filters.absorbed(spark.createDataFrame(rows, "k int, g string, s string"), ["g"], "k", "s").collect()}
     assert set(got) == set(range(len(rows)))
     for k, g, s in rows:
         own = [(i, t) for i, h, t in rows if h == g and t is not None]
@@ -91,6 +91,70 @@ def test_absorbed_matches_brute_force(spark):
     assert sum(c for c, _ in got.values() if c) == len(rows)
 
 
+def test_pairs_with_gaps_are_aligned():
+    """Identity near a diagonal, by a plain recurrence over all cells."""
+    rng = np.random.default_rng(8)
+    pairs = []
+    for _ in range(40):
+        a = "".join(rng.choice(list("ACGT"), 120))
+        x = list(a)
+        for _ in range(int(rng.integers(0, 4))):
+            p = int(rng.integers(0, len(x)))
+            x[p : p + int(rng.integers(0, 3))] = rng.choice(list("ACGT"), int(rng.integers(0, 3))).tolist()
+        cut = int(rng.integers(0, 20))
+        pairs.append((a, "".join(x)[cut:], -cut))
+
+    def plain(a, b):
+        v = [[(0, 0, 0)] * (len(b) + 1) for _ in range(len(a) + 1)]
+        top = (0, 0, 0)
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                hit = a[i - 1] == b[j - 1]
+                moves = [(v[i - 1][j - 1], 1 if hit else -1, hit)] + [(v[i - 1][j], -2, 0)] * (i > 1) + [(v[i][j - 1], -2, 0)] * (j > 1)
+                v[i][j] = max((p[0] + s, p[1] + m, p[2] + 1) for p, s, m in moves)
+                if i == len(a) or j == len(b):
+                    top = max(top, v[i][j])
+        return top[1] / top[2]
+
+    got, _ = similarity.banded_identity([p[0] for p in pairs], [p[1] for p in pairs], [p[2] for p in pairs])
+    assert np.allclose(got, [plain(a, b) for a, b, _ in pairs])
+
+
+def test_components_by_brute_force(spark):
+    rng = np.random.default_rng(9)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5001 + i) for i in range(50)]
+    root = {x: x for e in edges for x in e}
+    while True:
+        new = dict(root)
+        for a, b in edges:
+            new[a] = new[b] = min(new[a], new[b])
+        if new == root:
+            break
+        root = new
+    got = {r.u: r.v for r in similarity.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    assert got == {x: r for x, r in root.items() if x != r}
+    assert similarity.components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_clusters_with_insertions_and_deletions(spark):
+    """Records that differ from their base by inserted or deleted bases are in its cluster, whatever they have in common with others."""
+    rng = np.random.default_rng(10)
+    rows = []
+    for b in range(8):
+        base = "".join(rng.choice(list("ACGT"), 600))
+        rows.append((b * 100, base))
+        for j in range(1, 10):
+            x = list(base)
+            for p in sorted(rng.integers(50, 550, 2).tolist(), reverse=True):
+                if rng.random() < 0.5:
+                    del x[p : p + int(rng.integers(1, 4))]
+                else:
+                    x[p:p] = rng.choice(list("ACGT"), int(rng.integers(1, 4))).tolist()
+            rows.append((b * 100 + j, "".join(x)))
+    got = {r.member: r.representative for r in similarity.clusters(spark.createDataFrame(rows, "k int, s string"), "k", "s").collect()}
+    assert all(len({got[b * 100 + j] for j in range(10)}) == 1 for b in range(8)) and len(set(got.values())) == 8
+
+
 def test_clusters(spark):
     rng = np.random.default_rng(4)
     bases = ["".join(rng.choice(list("ACGT"), 400)) for _ in range(6)]
