@@ -7,7 +7,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,14 @@ GENETIC_CODES = {
     23: "FF*LSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
     24: "FFLLSSSSYY**CCWWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSSKVVVVAAAADDEEGGGG",
     25: "FFLLSSSSYY**CCGWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    26: "FFLLSSSSYY**CC*WLLLAPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    27: "FFLLSSSSYYQQCCWWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    28: "FFLLSSSSYYQQCCWWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    29: "FFLLSSSSYYYYCC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    30: "FFLLSSSSYYEECC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    31: "FFLLSSSSYYEECCWWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    32: "FFLLSSSSYY*WCC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG",
+    33: "FFLLSSSSYYY*CCWWLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSSKVVVVAAAADDEEGGGG",
 }
 
 
@@ -153,6 +161,14 @@ def kmers(s: Column, k: int) -> Column:
     return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(s, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
 
 
+def random_seqs(spark: SparkSession, n: int, length: int, alphabet: str = "ACGT", seed: int = 0) -> DataFrame:
+    """name (Seq, Seq_1, Seq_2, ...), seq of n random sequences, each fixed by seed and number."""
+    letters = F.array(*[F.lit(a) for a in alphabet])
+    letter = lambda i: F.element_at(letters, (F.pmod(F.xxhash64(F.lit(seed), F.col("id"), i), F.lit(len(alphabet))) + 1).cast("int"))
+    seq = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(length)), letter), "") if length > 0 else F.lit("")
+    return spark.range(n).select(F.when(F.col("id") == 0, "Seq").otherwise(F.concat(F.lit("Seq_"), F.col("id").cast("string"))).alias("name"), seq.alias("seq"))
+
+
 def acc_to_hex(acc: Column) -> Column:
     """An accession as lower-case hexadecimal digits."""
     return F.lower(F.hex(F.encode(acc, "UTF-8")))

@@ -24,12 +24,13 @@ _NONE = -1e9
 
 @dataclass(frozen=True)
 class Profile:
-    """match: M x 20 probabilities; moves: (M + 1) x 7 probabilities m>m, m>i, m>d, i>m, i>i, d>m, d>d, row 0 for the begin state; stats: location and slope of forward scores."""
+    """match: M x letters probabilities (20 amino acids, or the 4 bases for a model of nucleotides); moves: (M + 1) x 7 probabilities m>m, m>i, m>d, i>m, i>i, d>m, d>d, row 0 for the begin state; stats: location and slope of forward scores."""
 
     name: str
     match: np.ndarray
     moves: np.ndarray
     stats: tuple[float, float]
+    letters: str = AMINO
 
     def __len__(self) -> int:
         return len(self.match)
@@ -46,6 +47,7 @@ def read_profile(text: str) -> Profile:
     lines = text.splitlines()
     head = {x.split()[0]: x.split()[1:] for x in lines if x and x[0].isalpha()}
     stats = next(((float(v[3]), float(v[4])) for v in (x.split() for x in lines) if v[:3] == ["STATS", "LOCAL", "FORWARD"]), None)
+    letters = AMINO if head.get("ALPH", ["amino"])[0].lower() == "amino" else "ACGT"
     number = lambda xs: [0.0 if x == "*" else math.exp(-float(x)) for x in xs]
     at = next(i for i, x in enumerate(lines) if x.startswith("HMM "))
     body = [x.split() for x in lines[at + 2 :]]
@@ -53,13 +55,13 @@ def read_profile(text: str) -> Profile:
         body = body[1:]
     moves, match, i = [number(body[1][:7])], [], 2
     while body[i][0] != "//":
-        match.append(number(body[i][1:21]))
+        match.append(number(body[i][1 : 1 + len(letters)]))
         moves.append(number(body[i + 2][:7]))
         i += 3
     m = np.array(match)
     if len(m) != int(head["LENG"][0]):
         raise ValueError("the model's length is not as stated")
-    return Profile(head["NAME"][0], m, np.array(moves), stats or default_stats(len(m)))
+    return Profile(head["NAME"][0], m, np.array(moves), stats or default_stats(len(m)), letters)
 
 
 def default_stats(length: int) -> tuple[float, float]:
@@ -67,13 +69,17 @@ def default_stats(length: int) -> tuple[float, float]:
     return -math.log2(max(length, 2)) + 3.0, math.log(2)
 
 
-def build_profile(name: str, rows: list[str], symfrac: float = 0.5, pseudo: float = 2.0) -> Profile:
-    """A model of aligned proteins: columns with at least `symfrac` letters are match states, emissions get background pseudocounts and moves flat ones."""
+def background(letters: str) -> np.ndarray:
+    return BACKGROUND if letters == AMINO else np.full(len(letters), 1 / len(letters))
+
+
+def build_profile(name: str, rows: list[str], symfrac: float = 0.5, pseudo: float = 2.0, letters: str = AMINO) -> Profile:
+    """A model of aligned proteins, or with letters='ACGT' of aligned nucleotides: columns with at least `symfrac` letters are match states, emissions get background pseudocounts and moves flat ones."""
     x = [r.upper().replace(".", "-") for r in rows]
     keep = [c for c in range(len(x[0])) if sum(r[c] != "-" for r in x) >= symfrac * len(x)]
     if not keep:
         raise ValueError("no column has enough letters")
-    match = np.array([[sum(r[c] == a for r in x) for a in AMINO] for c in keep], float) + pseudo * BACKGROUND
+    match = np.array([[sum(r[c] == a for r in x) for a in letters] for c in keep], float) + pseudo * background(letters)
     match /= match.sum(1, keepdims=True)
     n = len(keep)
     moves = np.tile(np.array([9.0, 0.5, 0.5, 1.0, 1.0, 1.0, 1.0]), (n + 1, 1))
@@ -92,7 +98,7 @@ def build_profile(name: str, rows: list[str], symfrac: float = 0.5, pseudo: floa
     for a, b in ((0, 3), (3, 5), (5, 7)):
         moves[:, a:b] /= moves[:, a:b].sum(1, keepdims=True)
     moves[n, :] = [1, 0, 0, 1, 0, 1, 0]
-    return Profile(name, match, moves, default_stats(n))
+    return Profile(name, match, moves, default_stats(n), letters)
 
 
 class Search:
@@ -101,14 +107,14 @@ class Search:
     def __init__(self, p: Profile):
         self.p, m = p, len(p)
         with np.errstate(divide="ignore"):
-            odds = np.log2(p.match / BACKGROUND)
+            odds = np.log2(p.match / background(p.letters))
             t = np.maximum(np.log2(p.moves), _NONE)
-        self.odds = np.vstack([np.maximum(odds.T, -30), np.zeros((1, m))])  # letters x states; 20 is X
+        self.odds = np.vstack([np.maximum(odds.T, -30), np.zeros((1, m))])  # letters x states; the last is for any other letter
         self.mm, self.mi, self.md, self.im, self.ii, self.dm, self.dd = (np.ascontiguousarray(t[:, i]) for i in range(7))
         self.enter = math.log2(2 / (m * (m + 1)))
         self.run = np.concatenate([[0.0], np.cumsum(self.dd[1:m])])  # of deletions before state k
-        letter = np.full(256, 20, np.int8)
-        for i, a in enumerate(AMINO.encode()):
+        letter = np.full(256, len(p.letters), np.int8)
+        for i, a in enumerate(p.letters.encode()):
             letter[a] = letter[a + 32] = i
         self.letter = letter
 
@@ -367,3 +373,86 @@ def align_to_profile(df: DataFrame, protein: str, seq: str, profile: Profile) ->
         return pd.Series(out, dtype=object)
 
     return df.withColumn("aligned", run(protein, seq))
+
+
+def binding_position(primer: str, profile: Profile, try_reverse: bool = True, min_score: float = 10.0) -> dict:
+    """primer, start, end (columns of a model of nucleotides, from 1), score, orientation of the better of the primer and its complement.
+
+    start, end and orientation are null where neither scores more than min_score. Inosine and ambiguous letters score nothing.
+    """
+    from curaspark.functions.seq import COMPLEMENT_FROM, COMPLEMENT_TO
+
+    plain_ = primer.upper().replace("-", "").replace("I", "N").replace("U", "T")
+    tried = {"forward": plain_} | ({"reverse": plain_.translate(str.maketrans(COMPLEMENT_FROM, COMPLEMENT_TO))[::-1]} if try_reverse else {})
+    s = Search(profile)
+    scores = dict(zip(tried, s.best(list(tried.values()))))
+    way = max(scores, key=lambda k: (scores[k], k == "forward"))
+    if not plain_ or scores[way] <= min_score:
+        return {"primer": primer, "start": None, "end": None, "score": float(scores[way]), "orientation": None}
+    hit = s.align(tried[way])
+    return {"primer": primer, "start": hit["hmm_from"], "end": hit["hmm_to"], "score": float(scores[way]), "orientation": way}
+
+
+def model_row(seq: str, search_: Search, min_score: float = 100.0, min_length: int = 1, max_indel: int | None = None, check_frame: bool = True) -> str | None:
+    """A nucleotide sequence on its model's columns ('-' for none; inserted bases are left out), null where it fits badly.
+
+    It fits where the score is at least min_score, the runs of matched columns, those parted by gaps of fewer than max_indel bases counted as one, reach min_length, and
+    with check_frame all inner gaps and insertions are multiples of 3.
+    """
+    s = seq.upper().replace("-", "").replace(".", "")
+    if not s or search_.best([s])[0] < min_score:
+        return None
+    path = search_.align(s)["path"]
+    runs, now = [], 1
+    for (i, k), (j, m) in zip(path, path[1:]):
+        lost, more = m - k - 1, j - i - 1
+        if check_frame and (lost % 3 or more % 3):
+            return None
+        if lost or more:
+            if max_indel is not None and max(lost, more) >= max_indel:
+                runs.append(now)
+                now = 0
+        now += 1
+    if max([*runs, now]) < min_length:
+        return None
+    row = ["-"] * len(search_.p)
+    for i, k in path:
+        row[k] = s[i]
+    return "".join(row)
+
+
+def fitted_to_profile(df: DataFrame, seq: str, profile: Profile, **limits) -> DataFrame:
+    """The rows of df whose sequence fits a model of nucleotides, with `aligned`, its model_row(). Null sequences don't fit. limits: see model_row()."""
+    from pyspark.sql import types as T
+
+    @F.pandas_udf(T.StringType())
+    def run(s: pd.Series) -> pd.Series:
+        search_ = Search(profile)
+        return pd.Series([None if x is None else model_row(x, search_, **limits) for x in s], dtype=object)
+
+    return spread(df).withColumn("aligned", run(seq)).filter("aligned is not null")
+
+
+def padded_alignment(rows: list[str], profile: Profile, pad: str = "-", check_frame: bool = True, min_score: float = 10.0) -> list[str]:
+    """The rows of a small alignment with columns of `pad` put in where the model has columns that the alignment lacks, so both have the same columns.
+
+    The alignment's most frequent letters are placed on the model. With check_frame missing inner columns must come in threes; columns that the model lacks stay.
+    """
+    from collections import Counter
+
+    up = [r.upper().replace(".", "-") for r in rows]
+    most = "".join(Counter(r[c] for r in up if r[c] != "-").most_common(1)[0][0] if any(r[c] != "-" for r in up) else "-" for c in range(len(up[0])))
+    kept = [c for c, x in enumerate(most) if x != "-"]
+    s = Search(profile)
+    consensus = "".join(most[c] for c in kept)
+    if not consensus or s.best([consensus])[0] < min_score:
+        raise ValueError("the alignment does not fit the model")
+    path = s.align(consensus)["path"]
+    before = {kept[path[0][0]]: path[0][1]}
+    for (i, k), (j, m) in zip(path, path[1:]):
+        if m - k > 1:
+            if check_frame and (m - k - 1) % 3:
+                raise ValueError("columns are missing in other numbers than threes")
+            before[kept[j]] = m - k - 1
+    behind = len(profile) - 1 - path[-1][1]
+    return ["".join(pad * before.get(c, 0) + x for c, x in enumerate(r)) + pad * behind for r in up]

@@ -36,15 +36,15 @@ def _substitution() -> np.ndarray:
 _SCORES = _substitution()
 
 
-def overlap_identity(pattern: str, subject: str) -> float:
-    """1 - (mismatches + gap bases) / length of the aligned pattern, in the best overlap alignment (end gaps are free); NaN for an empty sequence.
+def overlap_path(pattern: str, subject: str) -> list[tuple[int, int]]:
+    """Columns (position in pattern, position in subject), from 0, -1 for a gap, of the best overlap alignment; end gaps are free and left out.
 
     Affine gaps; rows are worked out at once, gaps along a row by a running maximum.
     """
     a, b = Q._LETTER[np.frombuffer(pattern.encode(), np.uint8)], Q._LETTER[np.frombuffer(subject.encode(), np.uint8)]
     n, m = len(a), len(b)
     if not n or not m:
-        return float("nan")
+        return []
     h = np.zeros(m + 1)
     e = np.full(m + 1, -np.inf)
     slope = GAP_EXTEND * np.arange(m + 1)
@@ -67,30 +67,34 @@ def overlap_identity(pattern: str, subject: str) -> float:
     j, i = int(h.argmax()), n
     if edge.max() > h[j]:
         i, j = int(edge.argmax()), m
-    wrong = length = 0
+    path: list[tuple[int, int]] = []
     up = False
     while i > 0 and j > 0:
         c = came[i, j]
         if up or c & 3 == 1:
-            wrong += 1
-            length += 1
+            path.append((i - 1, -1))
             up = bool(c & 4)
             i -= 1
         elif c & 3 == 2:
             k = j - 1
             # A gap along the row goes back to the cell that the running maximum came from.
-            wrong += 1
-            length += 1
+            path.append((-1, j - 1))
             while k > 0 and came[i, k] & 3 == 2:
-                wrong += 1
-                length += 1
+                path.append((-1, k - 1))
                 k -= 1
             j = k
         else:
-            wrong += int(a[i - 1] != b[j - 1])
-            length += 1
+            path.append((i - 1, j - 1))
             i, j = i - 1, j - 1
-    return 1 - wrong / length if length else float("nan")
+    return path[::-1]
+
+
+def overlap_identity(pattern: str, subject: str) -> float:
+    """1 - (mismatches + gap bases) / length of the aligned pattern, in the best overlap alignment (end gaps are free); NaN for an empty sequence."""
+    path = overlap_path(pattern, subject)
+    a, b = Q._LETTER[np.frombuffer(pattern.encode(), np.uint8)], Q._LETTER[np.frombuffer(subject.encode(), np.uint8)]
+    wrong = sum(i < 0 or j < 0 or a[i] != b[j] for i, j in path)
+    return 1 - wrong / len(path) if path else float("nan")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -324,3 +328,53 @@ def lca_shares(pairs: DataFrame, ranks: list[str], step: float = 0.01) -> DataFr
     same = F.coalesce(*[F.when(F.col(f"{r}_a") == F.col(f"{r}_b"), F.lit(r)) for r in reversed(ranks)], F.lit("none"))
     got = pairs.select(F.round(F.floor(F.col("identity") / step) * step, 6).alias("identity"), same.alias("rank")).groupBy("identity", "rank").agg(F.count(F.lit(1)).alias("n"))
     return got.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy("identity")), 9))
+
+
+def near_pairs(df: DataFrame, key: str, seq: str, threshold: float, coverage: float = 0.8, k: int = 14, per_seq: int = 2000) -> DataFrame:
+    """id_a, id_b, identity: linked pairs of records, a k-mer's longest sequence against the others that have it, as in clusters().
+
+    Pairs are between distinct sequences, each standing for its record of least key; the number of pairs follows the number of k-mers, not of pairs of records.
+    """
+    base = df.filter(F.col(seq).isNotNull()).select(F.col(key).alias("id"), F.upper(Q.dealigned(F.col(seq))).alias("s"))
+    one = as_table(base.groupBy("s").agg(F.min("id").alias("id")).withColumn("n", F.length("s")))
+    grams, rows = counted_table(spread(one).select("id", "n", F.explode(_lowest_kmers("s", F.lit(k), F.lit(per_seq))).alias("g")).select("id", "n", "g.h", "g.at"))
+    centre = grams.groupBy("h").agg(F.min(F.struct((-F.col("n")).alias("n"), "id", "at")).alias("c"), F.count(F.lit(1)).alias("k")).filter("k > 1").select("h", F.col("c.id").alias("id_b"), F.col("c.at").alias("c_at"))
+    met = _lookup(grams.drop("n"), "h", centre, rows).filter("id_b is not null and id_b <> id")
+    pairs = met.groupBy(F.col("id").alias("id_a"), "id_b", (F.col("c_at") - F.col("at")).alias("shift")).agg(F.count(F.lit(1)).alias("k"))
+    best, rows = counted_table(pairs.groupBy("id_a", "id_b").agg(F.max(F.struct("k", "shift")).alias("b")).select("id_a", "id_b", "b.shift"))
+    scored = _lookup(best.join(one.select(F.col("id").alias("id_a"), F.col("s").alias("s1")), "id_a"), "id_b", one.select(F.col("id").alias("id_b"), F.col("s").alias("s2")), rows)
+    return scored.withColumn("identity", overlap_share("s1", "s2", "shift", F.lit(threshold), F.lit(coverage))).filter(F.col("identity") >= threshold).select("id_a", "id_b", "identity")
+
+
+def lca_probabilities(df: DataFrame, key: str, seq: str, ranks: list[str], threshold: float = 0.5, step: float = 0.01) -> DataFrame:
+    """identity, rank, n, share of lca_shares() over the near_pairs() of the records, so the pairs are made here."""
+    pairs = near_pairs(df, key, seq, threshold)
+    a = df.select(F.col(key).alias("id_a"), *[F.col(r).alias(f"{r}_a") for r in ranks])
+    b = df.select(F.col(key).alias("id_b"), *[F.col(r).alias(f"{r}_b") for r in ranks])
+    return lca_shares(pairs.join(a, "id_a").join(b, "id_b"), ranks, step)
+
+
+def seeded_search(queries: DataFrame, db: DataFrame, key: str = "name", seq: str = "seq", k: int = 11, min_identity: float = 0.8, min_coverage: float = 0.0, per_seq: int = 2000) -> DataFrame:
+    """qseqid, sseqid, pident (percent), length, qcovs (percent): hits of all queries in all records of db, found over shared k-mers and aligned with gaps near their diagonal.
+
+    A query meets a record on the diagonal of most shared k-mers. Hits have min_identity and cover min_coverage of the query. K-mers that many records have are met by _lookup's
+    way for hot keys only on the side of the queries; the result has one row a pair, as many as there are hits.
+    """
+    q = queries.filter(F.col(seq).isNotNull()).select(F.col(key).alias("qseqid"), F.upper(Q.dealigned(F.col(seq))).alias("s1"))
+    s = db.filter(F.col(seq).isNotNull()).select(F.col(key).alias("sseqid"), F.upper(Q.dealigned(F.col(seq))).alias("s2"))
+    gq = spread(q).select("qseqid", F.explode(_lowest_kmers("s1", F.lit(k), F.lit(per_seq))).alias("g")).select("qseqid", "g.h", F.col("g.at").alias("qa"))
+    gs = spread(s).select("sseqid", F.explode(_lowest_kmers("s2", F.lit(k), F.lit(per_seq))).alias("g")).select("sseqid", "g.h", F.col("g.at").alias("sa"))
+    met = gq.join(gs, "h").groupBy("qseqid", "sseqid", (F.col("sa") - F.col("qa")).alias("shift")).agg(F.count(F.lit(1)).alias("k"))
+    best = as_table(met.groupBy("qseqid", "sseqid").agg(F.max(F.struct("k", "shift")).alias("b")).select("qseqid", "sseqid", "b.shift"))
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 512):
+                part = b.iloc[at : at + 512]
+                identity, n = banded_identity(part.s1.tolist(), part.s2.tolist(), part["shift"].astype(int).tolist())
+                covered = 100 * np.minimum(n / part.s1.str.len().clip(lower=1).to_numpy(), 1.0)
+                yield pd.DataFrame({"qseqid": part.qseqid, "sseqid": part.sseqid, "pident": 100 * identity, "length": n, "qcovs": covered})
+
+    kinds = {**dict(q.dtypes), **dict(s.dtypes)}
+    hits = spread(best.join(q, "qseqid").join(s, "sseqid")).mapInPandas(align, f"qseqid {kinds['qseqid']}, sseqid {kinds['sseqid']}, pident double, length bigint, qcovs double")
+    return hits.filter((F.col("pident") >= 100 * min_identity) & (F.col("qcovs") >= 100 * min_coverage))

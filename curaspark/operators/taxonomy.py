@@ -117,6 +117,74 @@ def below(nodes: DataFrame, targets: DataFrame) -> DataFrame:
     return inside.unionByName(tree.join(targets.select("tax_id").distinct(), "tax_id", "left_semi").select(F.col("tax_id").alias("target"), "tax_id"))
 
 
+#: Ranks of a target package below which names are looked up, from the highest.
+TARGET_RANKS = ["kingdom", "phylum", "class", "order", "family", "subfamily", "tribe", "genus", "species"]
+# Ranks from the highest, those between the target ranks included.
+ALL_RANKS = ["superkingdom", "kingdom", "subkingdom", "superphylum", "phylum", "subphylum", "superclass", "class", "subclass", "infraclass", "cohort", "superorder", "order", "suborder", "infraorder", "parvorder", "superfamily", "family", "subfamily", "tribe", "subtribe", "genus", "subgenus", "species"]
+
+
+def resolve_target(taxon: str, rank: str | None, nodes: DataFrame, names: DataFrame) -> tuple[int, str, str]:
+    """(tax_id, scientific name, rank) of a target given as a tax id (digits) or a scientific name, at a rank if one is given.
+
+    Raises where nothing or more than one taxon is meant, and where a tax id has another rank than the given one.
+    """
+    tnr = taxid_name_rank(tax_names(names), node_ranks(nodes))
+    taxon = taxon.strip()
+    if taxon.isdigit():
+        got = tnr.filter(F.col("tax_id") == int(taxon)).limit(2).collect()
+        if not got:
+            raise ValueError(f"{taxon} is no tax id with a name")
+        if rank and got[0]["rank"] != rank.lower():
+            raise ValueError(f"tax id {taxon} is of rank {got[0]['rank']}, not {rank}")
+    else:
+        same = tnr.filter(F.col("tax_name") == taxon)
+        got = (same.filter(F.col("rank") == rank.lower()) if rank else same).limit(2).collect()
+        if not got:
+            raise ValueError(f"no taxon is named {taxon}" + f" at rank {rank}" * bool(rank))
+        if len(got) > 1:
+            raise ValueError(f"{taxon} names several taxa; give a rank or a tax id")
+    return got[0].tax_id, got[0].tax_name, got[0]["rank"]
+
+
+def target_names(tax_id: int, name: str, rank: str, nodes: DataFrame, names: DataFrame) -> DataFrame:
+    """name, rank to look a target up by: its name and synonyms where its rank is one of TARGET_RANKS, else the names and synonyms of all
+    taxa below it at the next rank that is."""
+    tnr = taxid_name_rank(tax_names(names), node_ranks(nodes))
+    spark = nodes.sparkSession
+    if rank in TARGET_RANKS:
+        wanted = spark.createDataFrame([(tax_id,)], "tax_id int")
+    else:
+        if rank not in ALL_RANKS:
+            raise ValueError(f"rank {rank} has no place among the known ranks")
+        lower = [r for r in ALL_RANKS[ALL_RANKS.index(rank) + 1 :] if r in TARGET_RANKS]
+        rank = lower[0]
+        wanted = below(nodes, spark.createDataFrame([(tax_id,)], "tax_id int")).join(tnr.filter(F.col("rank") == rank).select("tax_id"), "tax_id", "left_semi").select("tax_id")
+    own = tnr.join(wanted, "tax_id", "left_semi").select(F.col("tax_name").alias("name"))
+    other = names.filter("name_class = 'synonym'").join(wanted, "tax_id", "left_semi").select(F.col("name_txt").alias("name"))
+    return own.unionByName(other).distinct().withColumn("rank", F.lit(rank))
+
+
+def filter_by_tax(df: DataFrame, rank: str, values: list[str]) -> DataFrame:
+    """The rows of df whose rank column has one of the values."""
+    wanted = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(values)] or [(None,)], "_v string")
+    return df.join(F.broadcast(wanted) if len(values) <= 200_000 else wanted, df[rank] == wanted["_v"], "left_semi")
+
+
+def grafted(df: DataFrame, acc: str, ranks: list[str]) -> DataFrame:
+    """newick: the tree of the lineages in df, down to the last of ranks, with the accessions grafted on as its tips (signs that Newick uses as '_').
+
+    A taxon's tips are joined before the taxa are, so the text of a taxon is as long as what lies below it.
+    """
+    safe = lambda c: F.regexp_replace(c, r"[\s(),:;\[\]']+", "_")
+    one = df.filter(F.col(acc).isNotNull()).select(*[safe(F.coalesce(filled(F.col(r)), F.lit("Unclassified"))).alias(r) for r in ranks], safe(F.col(acc)).alias("_a")).distinct()
+    now = one.groupBy(*ranks).agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list("_a")), ","), F.lit(")")).alias("t"))
+    for k in range(len(ranks), 0, -1):
+        named = now.withColumn("s", F.struct(F.col(ranks[k - 1]).alias("a"), F.concat("t", F.col(ranks[k - 1])).alias("l")))
+        joined = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x.l), ",")
+        now = named.groupBy(*ranks[: k - 1]).agg(F.concat(F.lit("("), joined, F.lit(")")).alias("t"))
+    return now.filter("t <> '()'").select(F.concat("t", F.lit(";")).alias("newick"))
+
+
 def newick(df: DataFrame, ranks: list[str], counts: bool = False) -> DataFrame:
     """The tree of the lineages in df as one Newick text (column newick): a row of text per kingdom joined in order of names.
 

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import io
+import re
+import tarfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from curaspark import schemas
 
+# Flags of taxa without a certain place in the Open Tree taxonomy.
+UNPLACED = ["incertae_sedis", "major_rank_conflict", "unplaced", "environmental", "inconsistent", "extinct", "hidden", "hybrid", "not_otu", "viral", "barren"]
+
 
 def _records(spark: SparkSession, path: str, sep: str) -> DataFrame:
     return spark.read.option("lineSep", sep).text(path)
@@ -87,6 +95,80 @@ def read_bold(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[F.col(c).try_cast("int").alias(c) if c == "nuc_basecount" else F.col(c).alias(names.get(c, c)) for c in schemas.BOLD_USED])
 
 
+def find_bold(spark: SparkSession, path: str) -> str:
+    """Path of the table of a BOLD package: `path` itself where it is a .tsv, else the one .tsv in the folder, else the table in a .tar.gz (the path itself or the
+    one in the folder), which is unpacked into the shared folder. Raises where there is none."""
+    from curaspark.session import shared_dir
+
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        raise FileNotFoundError(path)
+    files = [str(f.getPath()) for f in fs.listStatus(at)] if fs.getFileStatus(at).isDirectory() else [path]
+    for end in (".tsv", ".tar.gz"):
+        found = sorted(f for f in files if f.endswith(end))
+        if len(found) > 1:
+            raise ValueError(f"{path} holds several packages: {', '.join(found)}")
+        if found and end == ".tsv":
+            return found[0]
+        if found:
+            to = f"{shared_dir(spark)}/bold-{uuid.uuid4().hex}.tsv"
+            _unpack(fs, jvm, found[0], to)
+            return to
+    raise FileNotFoundError(f"{path} holds no BOLD package")
+
+
+def _unpack(fs, jvm, archive: str, to: str) -> None:
+    """The one .tsv of an archive, copied piece by piece as it is unpacked."""
+    source = fs.open(jvm.org.apache.hadoop.fs.Path(archive))
+
+    class Reader(io.RawIOBase):
+        def read(self, n: int = -1) -> bytes:
+            return bytes(source.readNBytes(n if n >= 0 else 1 << 20))
+
+    target = jvm.org.apache.hadoop.fs.Path(to)
+    out = target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).create(target)
+    try:
+        with tarfile.open(fileobj=Reader(), mode="r|gz") as t:
+            member = next((m for m in t if m.isfile() and m.name.endswith(".tsv")), None)
+            if member is None:
+                raise FileNotFoundError(f"{archive} holds no .tsv")
+            data = t.extractfile(member)
+            while piece := data.read(1 << 22):
+                out.write(piece)
+    finally:
+        out.close()
+        source.close()
+
+
+def read_ott_taxonomy(spark: SparkSession, path: str, filter_unplaced: bool = True) -> DataFrame:
+    """tax_id, parent_taxid, tax_name, rank, flags, source, id of an Open Tree taxonomy table: a row for each of a taxon's source ids (null where it has none).
+
+    With filter_unplaced taxa that bear a flag of UNPLACED are left out and 'no rank - terminal' becomes 'terminal'.
+    """
+    df = read_dmp(spark, path, "tax_id string, parent_taxid string, tax_name string, rank string, sourceinfo string, uniqname string, flags string").filter("tax_id <> 'uid'")
+    if filter_unplaced:
+        df = df.filter(~F.coalesce(F.col("flags").rlike("|".join(UNPLACED)), F.lit(False))).withColumn("rank", F.when(F.col("rank") == "no rank - terminal", "terminal").otherwise(F.col("rank")))
+    each = df.withColumn("s", F.explode_outer(F.split("sourceinfo", ",")))
+    return each.select("tax_id", "parent_taxid", "tax_name", "rank", "flags", F.get(F.split("s", ":"), F.lit(0)).alias("source"), F.get(F.split("s", ":"), F.lit(1)).alias("id"))
+
+
+def read_ott_synonyms(spark: SparkSession, path: str) -> DataFrame:
+    """tax_id, tax_name, synonym of an Open Tree synonym table; the taxon is named in the unique name, as in 'Aus bus (synonym for Aus cus)'."""
+    df = read_dmp(spark, path, "synonym string, tax_id string, type string, uniqname string, sourceinfo string").filter("tax_id <> 'uid'")
+    name = F.regexp_replace(F.regexp_replace(F.regexp_replace("uniqname", "^.*for ", ""), r"\).*$", ""), r"\(.*$", "")
+    return df.select("tax_id", F.trim(name).alias("tax_name"), "synonym")
+
+
+def one_value(text: str) -> str:
+    """The one value that a list in brackets repeats, as in '[COI, COI]'; raises where there are several or none."""
+    values = set(re.findall(r"[^\s,\[\]]+", text))
+    if len(values) != 1:
+        raise ValueError(f"not one value: {text}")
+    return values.pop()
+
+
 def read_targets(spark: SparkSession, path: str) -> DataFrame:
     """Distinct name, rank of a file without header; ranks in lower case."""
     return spark.read.schema("name string, rank string").option("ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).csv(path).filter("name is not null").withColumn("rank", F.lower("rank")).distinct()
@@ -159,9 +241,9 @@ def read_gff(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _aligned(spark: SparkSession, path: str, line: str) -> DataFrame:
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("i", "l"))
-    rows = lines.select("i", F.regexp_extract("l", line, 1).alias("name"), F.regexp_extract("l", line, 2).alias("s")).filter("name <> ''")
-    return rows.groupBy("name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x.s), "").alias("seq"))
+    lines = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("f"), F.posexplode(F.split("value", r"\r?\n")).alias("i", "l"))
+    rows = lines.select("f", "i", F.regexp_extract("l", line, 1).alias("name"), F.regexp_extract("l", line, 2).alias("s")).filter("name <> ''")
+    return rows.groupBy("f", "name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x.s), "").alias("seq")).select("name", "seq")
 
 
 def read_stockholm(spark: SparkSession, path: str) -> DataFrame:
