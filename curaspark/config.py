@@ -11,6 +11,7 @@ class Params:
     target_taxon: str | None = None
     target_rank: str | None = None
     marker: str = "COI"
+    default_code: int = 5  # genetic code of records for which none is known
     key_species: tuple[str, ...] = ()
     # sources
     min_length_input: int = 100

@@ -267,11 +267,12 @@ def centres(df: DataFrame, group: list[str], key: str, values: str, weight: str,
 
 @F.pandas_udf(T.DoubleType())
 def pair_distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Jukes-Cantor distance of two aligned sequences of equal length."""
-    out = np.empty(len(a))
-    for i, (x, y) in enumerate(zip(a, b)):
-        out[i] = aligned_distances(_CODE[np.frombuffer(x.encode(), np.uint8)][None], _CODE[np.frombuffer(y.encode(), np.uint8)][None])[0, 0]
-    return pd.Series(out)
+    """Jukes-Cantor distance of two aligned sequences of equal length; null where one is null, and where they are empty or not equally long."""
+    out: list[float | None] = []
+    for x, y in zip(a, b):
+        same = x and y and len(x) == len(y)
+        out.append(float(aligned_distances(_CODE[np.frombuffer(x.encode(), np.uint8)][None], _CODE[np.frombuffer(y.encode(), np.uint8)][None])[0, 0]) if same else None)
+    return pd.Series(out, dtype="float64")
 
 
 def filter_seq_outliers(df: DataFrame, key: str = "rid", aligned: str = "aligned", weight: str = "copies", threshold: float = 0.05) -> DataFrame:
@@ -281,7 +282,7 @@ def filter_seq_outliers(df: DataFrame, key: str = "rid", aligned: str = "aligned
     centre = centres(live.join(several, RANKS, "left_semi"), RANKS, key, aligned, weight)
     centre = centre.select(*[F.col(r).alias(f"_{r}") for r in RANKS], F.col("centre_values").alias("_centre"))
     out = df.join(centre, [df[r].eqNullSafe(centre[f"_{r}"]) for r in RANKS], "left")
-    far = F.when(F.col("_centre").isNotNull() & F.col(aligned).isNotNull(), pair_distance(F.coalesce("_centre", F.lit("")), F.coalesce(aligned, F.lit("")))) > threshold
+    far = F.nanvl(pair_distance("_centre", aligned), F.lit(None).cast("double")) > threshold
     return removed(out, "filter_seq_outliers", far).drop("_centre", *[f"_{r}" for r in RANKS])
 
 

@@ -49,9 +49,9 @@ def model_filters(df: DataFrame, p: Params, gencodes: DataFrame | None, profile:
     live = filters.alive(df)
     if gencodes is not None:
         column = translation.CODE_OF_TYPE[marker(p.marker)["type"]]
-        coded = translation.assign_codes(live.select("rid", "taxid", *RANKS), gencodes).select("rid", F.coalesce(column, "gencode").alias("code"))
+        coded = translation.assign_codes(live.select("rid", "taxid", *RANKS), gencodes).select("rid", F.coalesce(F.col(column).cast("int"), F.col("gencode").cast("int"), F.lit(p.default_code)).alias("code"))
     else:
-        coded = live.select("rid", F.lit(5).alias("code"))
+        coded = live.select("rid", F.lit(p.default_code).alias("code"))
     frames = translation.frames(live.select("rid", "seq").join(coded, "rid"), "seq", "code").select("rid", "frame", "protein", "stops")
     hits = as_table(profiles.search(frames.withColumn("searched", F.translate("protein", "*", "X")), "searched", profile, size))
     df = as_table(profiles.filter_phmm_full(df, hits, "rid", **limits(p)))

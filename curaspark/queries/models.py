@@ -10,7 +10,7 @@ from curaspark.functions import headers
 from curaspark.functions.seq import translated
 from curaspark.functions.text import RANKS
 from curaspark.operators import classifier, ingest, profiles, similarity, translation
-from curaspark.plans.curate import curate
+from curaspark.plans.curate import Result, curate
 from curaspark.queries import curation as C
 from curaspark.queries import table
 from curaspark.sources.sinks import format_output
@@ -39,7 +39,7 @@ def best_hit_coords(spark: SparkSession, d: str) -> DataFrame:
 
 def removal_audit(spark: SparkSession, d: str) -> DataFrame:
     """Why records lose their hit, with those that have none."""
-    hits = _hits(spark, d).filter("name % 10 <> 3")
+    hits = _hits(spark, d)
     return profiles.removal_audit(table(spark, d, "bold_db_targets").select(F.col("bold_row_id").alias("name")), hits)
 
 
@@ -104,14 +104,39 @@ def formatted(spark: SparkSession, d: str) -> DataFrame:
     return format_output(df.select("name", F.col("nuc").alias("seq")))
 
 
-def curation_run(spark: SparkSession, d: str) -> DataFrame:
-    """Fates of all sequences over the whole run without model."""
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    """bold_db_targets as records of a source."""
     df = table(spark, d, "bold_db_targets").withColumns({r: headers.unclassified(F.col(r)) for r in RANKS}).withColumn("taxid", F.concat(F.lit("BOLD:"), "bold_taxid"))
     df = ingest.named(df, "processid", "taxid").select("name", F.col("processid").alias("seqid"), "taxid", *RANKS, F.translate("nuc", "-", "").alias("seq")).filter("seq is not null")
-    return curate({"bold": df}).fate_summary
+    return df
+
+
+def curation_run(spark: SparkSession, d: str) -> DataFrame:
+    """Fates of all sequences over the whole run without model."""
+    return curate({"bold": _records(spark, d)}).fate_summary
+
+
+def _run_with_model(spark: SparkSession, d: str) -> Result:
+    """The whole run with a model of the protein of the longest sequence of the largest genus, and an amplicon's model that is its inner half.
+
+    The table's sequences are made up, so stops lie everywhere: they are read by a genetic code without stops, ambiguous ones stay, and limits are low.
+    """
+    code = 27
+    df = C._bold(spark, d)
+    genus = df.filter("genus <> 'Unclassified'").groupBy("genus").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "genus").first().genus
+    longest = df.filter(F.col("genus") == genus).orderBy(F.desc(F.length("seq")), "rid").limit(1).select(F.translate(translated(F.col("seq"), code), "*", "X").alias("p")).first().p
+    model = profiles.build_profile("model", [longest])
+    m = len(model)
+    p = Params(default_code=code, remove_ambiguous=False, phmm_min_score=10.0, phmm_max_evalue=1.0, phmm_min_acc=0.5, phmm_max_gap=1000, phmm_min_cov=0.02, phmm_min_length=30, amplicon_min_length=30)
+    return curate({"bold": _records(spark, d)}, p, profile=model, amplicon=(model.part(m // 4 + 1, 3 * m // 4), {}))
+
+
+def curation_run_model(spark: SparkSession, d: str) -> DataFrame:
+    """Fates of all sequences over the whole run with models."""
+    return _run_with_model(spark, d).fate_summary
 
 
-QUERIES = {f.__name__: f for f in (best_hit_coords, removal_audit, amplicon_coords, amplicon_coords_trimmed, hmm_search, kmer_cluster, overlap_pid, kmer_distances, lca_shares, idtaxa_train, formatted, curation_run)}
+QUERIES = {f.__name__: f for f in (best_hit_coords, removal_audit, amplicon_coords, amplicon_coords_trimmed, hmm_search, kmer_cluster, overlap_pid, kmer_distances, lca_shares, idtaxa_train, formatted, curation_run, curation_run_model)}
 
 # --- SQL
 _HITS = f"""{C._BOLD}, h0 AS (SELECT rid AS name, seq, len(seq) AS bases, (len(seq) - 2) // 3 AS target_len, unnest([rid, rid + 1]) AS i FROM bo WHERE len(seq) >= 90),
@@ -125,7 +150,7 @@ _FLAGS = "fail_max_evalue, fail_min_score, fail_min_acc, fail_max_gap_start, fai
 _AMP = "a AS (SELECT *, greatest(ali_from - (hmm_from - 1), 1) AS ff, least(ali_to + (query_len - hmm_to), target_len) AS ft FROM best), b AS (SELECT *, hmm_from - 1 - (ali_from - ff) AS sg, query_len - hmm_to - (ft - ali_to) AS eg FROM a), c AS (SELECT *, greatest(1, {start}) AS nuc_from, least(bases, {end}) AS nuc_to FROM b), e AS (SELECT *, nuc_to - nuc_from + 1 AS nuc_len, (hmm_to - hmm_from + 1) / query_len AS cov FROM c) SELECT name, nuc_from, nuc_to, nuc_len, round(cov, 9) AS phmm_cov, round(nuc_len / {ideal}, 9) AS amp_cov, cov >= 0.95 {extra} AS retained FROM e"
 SQL = {
     "best_hit_coords": f"WITH {_HITS.format(where='')}, {_FULL} SELECT name, frame, nuc_from, nuc_to, nuc_len, {_FLAGS}, retained, CASE WHEN retained THEN substr(CASE WHEN frame < 0 THEN {C._RC.format('seq')} ELSE seq END, nuc_from, nuc_len) END AS part FROM r",
-    "removal_audit": f"WITH {_HITS.format(where='WHERE name % 10 <> 3')}, {_FULL} SELECT name, 'excluded_hit' AS removal_type, {_FLAGS} FROM r WHERE NOT retained UNION ALL SELECT DISTINCT bold_row_id, 'no_hit', {', '.join(['NULL'] * 8)} FROM bold_db_targets WHERE bold_row_id NOT IN (SELECT name FROM r)",
+    "removal_audit": f"WITH {_HITS.format(where='')}, {_FULL} SELECT name, 'excluded_hit' AS removal_type, {_FLAGS} FROM r WHERE NOT retained UNION ALL SELECT DISTINCT bold_row_id, 'no_hit', {', '.join(['NULL'] * 8)} FROM bold_db_targets WHERE bold_row_id NOT IN (SELECT name FROM r)",
     "amplicon_coords": f"WITH {_HITS.format(where='')}, " + _AMP.format(start="ff * 3 - 2 + least(0, -1 + sg * 3 - 3)", end="ft * 3 + greatest(0, 2 - eg * 3 + 6)", ideal="(query_len * 3 + 1 + 2 + 3 + 6)", extra=""),
     "amplicon_coords_trimmed": f"WITH {_HITS.format(where='')}, " + _AMP.format(start="ff * 3 - 2 + greatest(0, 20 - 1 - sg * 3)", end="ft * 3 - greatest(0, 23 - 2 - eg * 3)", ideal="(query_len * 3 + 1 + 2 - 20 - 23)", extra="AND nuc_len >= 300"),
     "lca_shares": f"WITH {C._LIN}, p AS (SELECT a.row_id AS x, coalesce({', '.join(f'CASE WHEN a.{r} = b.{r} THEN ' + chr(39) + r + chr(39) + ' END' for r in reversed(RANKS))}, 'none') AS rank FROM lin a JOIN lin b ON b.row_id - 1 = a.row_id), g AS (SELECT round(floor((x * 7 % 1000) / 1000 / 0.01) * 0.01, 6) AS identity, rank, count(*) AS n FROM p GROUP BY ALL) SELECT *, round(n / sum(n) OVER (PARTITION BY identity), 9) AS share FROM g",

@@ -8,6 +8,7 @@ import tarfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -213,9 +214,13 @@ def read_counts(spark: SparkSession, path: str) -> DataFrame:
 # --- other formats, as name and seq
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """name, seq of four-line records. Lines are numbered in each file, which is read as one piece: the format has no marker to split at."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r", ""), "\n")).alias("i", "l"), F.input_file_name().alias("f"))
-    g = lines.withColumn("r", F.floor(F.col("i") / 4)).groupBy("f", "r").agg(F.max(F.when(F.col("i") % 4 == 0, F.col("l"))).alias("h"), F.max(F.when(F.col("i") % 4 == 1, F.col("l"))).alias("seq"))
+    """name, seq of four-line records, from files of any size: the lines of each block of a file are numbered in their task's order, the numbers of lines before a block
+    are added, one number a block, and four lines that follow each other are a record, wherever blocks begin."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("o"))
+    lines = lines.withColumn("i", F.row_number().over(W.partitionBy("f", "b").orderBy("o")) - 1)
+    before = lines.groupBy("f", "b").agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(W.partitionBy("f").orderBy("b")) - F.col("n")).drop("n")
+    at = lines.join(before, ["f", "b"]).select("f", (F.col("i") + F.col("before")).alias("i"), F.regexp_replace("value", "\r", "").alias("l"))
+    g = at.groupBy("f", F.floor(F.col("i") / 4).alias("r")).agg(F.max(F.when(F.col("i") % 4 == 0, F.col("l"))).alias("h"), F.max(F.when(F.col("i") % 4 == 1, F.col("l"))).alias("seq"))
     return g.filter(F.startswith("h", F.lit("@"))).select(F.substr("h", F.lit(2)).alias("name"), "seq")
 
 
