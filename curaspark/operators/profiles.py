@@ -378,7 +378,7 @@ def align_to_profile(df: DataFrame, protein: str, seq: str, profile: Profile) ->
 def binding_position(primer: str, profile: Profile, try_reverse: bool = True, min_score: float = 10.0) -> dict:
     """primer, start, end (columns of a model of nucleotides, from 1), score, orientation of the better of the primer and its complement.
 
-    start, end and orientation are null where neither scores more than min_score. Inosine and ambiguous letters score nothing.
+    start, end and orientation are null where neither scores more than min_score; scores are in bits and hold the costs of the model's ends. Inosine and ambiguous letters score nothing.
     """
     from curaspark.functions.seq import COMPLEMENT_FROM, COMPLEMENT_TO
 

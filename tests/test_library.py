@@ -56,9 +56,10 @@ def test_nucleotide_models():
     assert profiles.model_row(BASE[:45] + BASE[46:90], s, 50) is None and profiles.model_row(BASE[:45] + BASE[46:90], s, 50, check_frame=False) is not None
     assert profiles.model_row(BASE[:45] + BASE[48:90], s, 50, max_indel=3, min_length=60) is None
     assert profiles.model_row("", s) is None and profiles.model_row("A" * 50, s) is None
-    at = profiles.binding_position(BASE[30:50], model)
+    assert profiles.binding_position(BASE[30:50], model, min_score=100)["start"] is None
+    at = profiles.binding_position(BASE[30:50], model, min_score=5)
     assert (at["start"], at["end"], at["orientation"]) == (31, 50, "forward")
-    back = profiles.binding_position(BASE[30:50].translate(str.maketrans("ACGT", "TGCA"))[::-1], model)
+    back = profiles.binding_position(BASE[30:50].translate(str.maketrans("ACGT", "TGCA"))[::-1], model, min_score=5)
     assert (back["start"], back["end"], back["orientation"]) == (31, 50, "reverse")
     assert profiles.binding_position("", model)["start"] is None
     rows = [BASE[6:30] + BASE[33:80], BASE[6:30] + BASE[33:79] + "-"]
