@@ -127,9 +127,9 @@ def genbank_flat(spark: SparkSession, d: str) -> DataFrame:
 
 
 def failed_records(spark: SparkSession, d: str) -> DataFrame:
-    """Accessions that were asked for and have no sequence."""
-    got = genbank_flat(spark, d)
-    return T.failed_accessions(got.select("acc"), got)
+    """Accessions of all rows, as asked for, that have no record or a failed one."""
+    wanted = table(spark, d, "bold_db_targets").select(F.concat(F.lit("AB"), F.col("bold_row_id").cast("string"), F.lit(".1")).alias("acc"))
+    return T.failed_accessions(wanted, genbank_flat(spark, d))
 
 
 def domain_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -291,7 +291,7 @@ SQL = {
     "taxid_names": "SELECT tax_id, nullif(trim(name_txt, ' '), '') AS tax_name FROM taxon_names",
     "bold_package": "SELECT " + ", ".join("nuc_basecount" if c == "nuc_basecount" else f"nullif(translate({n}::VARCHAR, chr(9) || chr(13) || chr(10), '   '), '') AS {n}" for c in schemas.BOLD_USED for n in [{"class": "class_name", "order": "order_name", "taxid": "bold_taxid"}.get(c, c)]) + " FROM bold_db_targets",
     "genbank_flat": f"SELECT acc, taxid, concat_ws('|', acc, taxid) AS name, seq, {_FAILED} AS failed FROM {_GB}",
-    "failed_records": f"SELECT acc FROM {_GB} WHERE {_FAILED} IS NOT NULL",
+    "failed_records": f"SELECT 'AB' || bold_row_id || '.1' AS acc FROM bold_db_targets WHERE 'AB' || bold_row_id || '.1' NOT IN (SELECT acc FROM {_GB} WHERE {_FAILED} IS NULL)",
     "domain_hits": "SELECT 'rec ' || bold_row_id AS target_name, CASE WHEN bold_row_id % 2 = 0 THEN -1 ELSE 2 END AS frame, CASE bold_row_id % 3 WHEN 0 THEN '' WHEN 1 THEN '7' ELSE '5|12' END AS stops,"
     " coalesce(len(nuc), 0)::DOUBLE AS target_len, bold_row_id / 4 AS score, NULL::DOUBLE AS bias, (coalesce(len(nuc), 0) - 1)::DOUBLE AS ali_to, 0.93::DOUBLE AS acc, NULL::VARCHAR AS description FROM bold_db_targets",
     "small_files": "WITH r AS (SELECT row_id::VARCHAR AS r FROM lineage WHERE seqid IS NOT NULL) SELECT 'cluster' AS kind, r AS a, 'm' || r AS b FROM r UNION ALL SELECT 'count', 's' || r, r FROM r UNION ALL SELECT 'target', 'T' || r, 'family' FROM r UNION ALL SELECT 'key', 'K' || r, '' FROM r",

@@ -19,14 +19,14 @@ def _tnr(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: The ranked lineages of a folder, made once a session, as several queries of a run read them.
-_RANKED: dict[tuple[str, str], DataFrame] = {}
+_LINEAGES: dict[tuple[str, str], DataFrame] = {}
 
 
 def _ranked(spark: SparkSession, d: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, d)
-    if key not in _RANKED:
-        _RANKED[key] = as_table(taxonomy.ranked_lineage(table(spark, d, "nodes"), taxonomy.tax_names(table(spark, d, "taxon_names"))))
-    return _RANKED[key]
+    if key not in _LINEAGES:
+        _LINEAGES[key] = as_table(taxonomy.ranked_lineage(table(spark, d, "nodes"), taxonomy.tax_names(table(spark, d, "taxon_names"))))
+    return _LINEAGES[key]
 
 
 def _bold(spark: SparkSession, d: str) -> DataFrame:
