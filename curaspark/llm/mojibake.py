@@ -35,8 +35,6 @@ MAX_GRAMS = 2_000_000
 STEP, TOP = 0.5, 120
 #: Texts that stand for what is known beforehand, and the means with which the gains of clean and of garbled ones fall off exponentially.
 PRIOR_TEXTS, PRIOR_CLEAN, PRIOR_GARBLED = 20.0, 1.5, 40.0
-#: One of so many clean texts, by their hash, is also judged with a planted garbled part.
-PLANT_EVERY = 16
 #: Occurrences, as shares of the corpus, from which the context of one and of two characters outweighs shorter ones.
 TRUST = (1e-4, 2e-5)
 #: Log-likelihood of a sign that no writer means, such as a C1 control.
@@ -518,7 +516,7 @@ def planted(text: str) -> str | None:
     parts = islands(text)
     if not parts:
         return None
-    h = _hash(text) // (2 * PLANT_EVERY)
+    h = _hash(text) >> 1
     first = h % len(parts)
     last = min(len(parts) - 1, first + (h >> 11) % 4)
     a, b = (0, len(text)) if (h >> 8) % 8 == 0 else (parts[first][0], parts[last][1])
@@ -581,7 +579,7 @@ def _judged(df: DataFrame, text: str, halves: list[Restorer]) -> DataFrame:
                     seen[-3, "0"] += 1
                 else:
                     seen[-1, str(k)] += 1
-                    bad = planted(t) if _hash(t) // 2 % PLANT_EVERY == 0 else None
+                    bad = planted(t)
                     if bad is not None:
                         seen[-2, str(step(r.evidence(bad)))] += 1
             for k, own in texts.items():
@@ -635,7 +633,7 @@ def fit(df: DataFrame, text: str) -> Restorer:
     """A restorer trained on all texts of df, in two passes.
 
     First models come from each half of the texts without structural marks. Each then judges the texts of the other half, so all are held out,
-    and copies of them with a planted garbled part; the margin is the one with the fewest errors on both. The final model is of all texts
+    and a copy of each with a planted garbled part; the margin is the one with the fewest errors on both. The final model is of all texts
     that stay below the margin.
     """
     first = _first_counts(df, text)

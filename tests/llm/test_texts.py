@@ -257,6 +257,15 @@ def test_planted_parts_can_be_undone():
     assert mojibake.planted("ascii") is None
 
 
+def test_every_clean_text_is_planted(spark):
+    """The margin's missed cases are counted on a copy of each clean text, not of some."""
+    texts = [f"{t} {i}" for t in LANGS.values() for i in range(8)]
+    clean = [t for t in texts if not t.isascii() and not mojibake._marked(t)]
+    model = mojibake.CharModel.of(mojibake._count_grams(texts))
+    got = mojibake._judged(spark.createDataFrame([(t,) for t in texts], "s string"), "s", [mojibake.Restorer(model, 0.0)] * 2).filter("kind = -2").agg(F.sum("n")).first()[0]
+    assert got == sum(mojibake.planted(t) is not None for t in clean) > 0
+
+
 def test_fit_holds_texts_out(restorer):
     false, missed = restorer.rates
     assert false <= 0.01 and missed <= 0.2
