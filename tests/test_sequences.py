@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -279,3 +280,26 @@ def test_best_window(spark):
     s = "T" * 100 + model + "T" * 100
     got = similarity.best_window(spark.createDataFrame([(1, s), (2, "ACGT")], "k int, s string"), "k", "s", model, 40, 4).collect()
     assert model in {r.k: r.seq for r in got}[1] and {r.k: r.seq for r in got}[2] == "ACGT"
+
+
+def test_hits_are_aligned_together_as_one_by_one(monkeypatch):
+    """Sequences of any length are worked out together with the results of each alone and of a plain sum over all cells."""
+    rng = random.Random(5)
+    p = profiles.build_profile("m", ["".join(rng.choice(profiles.AMINO) for _ in range(30))])
+    s = profiles.Search(p)
+    monkeypatch.setattr(profiles, "_SPAN", 3.0)  # many blocks
+    texts = ["".join(rng.choice(profiles.AMINO) for _ in range(n)) for n in (1, 7, 45, 12)] + ["".join(profiles.AMINO[k] for k in p.match.argmax(1))]
+    for text, a, (score, post) in zip(texts, s.align_all(texts), s.forward_all(texts)):
+        assert a == s.align(text)
+        c, n = s.encode(text), len(p)
+        m, i, d = [{} for _ in range(3)]
+        for t in range(len(c)):
+            for k in range(n):
+                came = 2**s.enter + sum(x.get((t - 1, k - 1), 0.0) * 2.0 ** w[k] for x, w in ((m, s.mm), (i, s.im), (d, s.dm)))
+                m[t, k] = came * 2.0 ** s.odds[c[t], k]
+                i[t, k] = m.get((t - 1, k), 0.0) * 2.0 ** s.mi[k + 1] + i.get((t - 1, k), 0.0) * 2.0 ** s.ii[k + 1]
+                d[t, k] = m.get((t, k - 1), 0.0) * 2.0 ** s.md[k] + d.get((t, k - 1), 0.0) * 2.0 ** s.dd[k] if k else 0.0
+        assert abs(score - (math.log2(sum(m.values())) + sum(s._length(len(c))))) < 1e-6
+        assert post.shape == (len(c), n) and 0 < post.sum() <= len(c) + 1e-6
+    best = s.best(texts)
+    assert all((s.reaching(texts, x) == (best >= x)).all() for x in [0.0, *best])
