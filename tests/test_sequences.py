@@ -303,3 +303,21 @@ def test_hits_are_aligned_together_as_one_by_one(monkeypatch):
         assert post.shape == (len(c), n) and 0 < post.sum() <= len(c) + 1e-6
     best = s.best(texts)
     assert all((s.reaching(texts, x) == (best >= x)).all() for x in [0.0, *best])
+
+
+def test_pairs_without_room_for_a_link_are_left_out_early(spark):
+    """Lengths and shift rule out no pair that would be linked, and do rule out others before their sequences meet."""
+    rng = random.Random(9)
+    base = "".join(rng.choice("ACGT") for _ in range(120))
+    rows = []
+    for _ in range(150):
+        i, j = rng.randint(0, 60), rng.randint(60, 120)
+        a = base[i:j]
+        cut_ = rng.randint(0, 30)
+        b = base[cut_:] if rng.random() < 0.5 else base[cut_:70] + "ACGTACG"[: rng.randint(0, 7)] + base[70:]
+        rows.append((a, b, i - cut_, len(a), len(b)))
+    rows.append((base, base, 100, 120, 120))
+    df = spark.createDataFrame(rows, "s1 string, s2 string, shift int, n1 int, n2 int")
+    for t in (0.5, 0.97):
+        got = df.select(similarity._near(t, 0.8).alias("room"), similarity.overlap_share("s1", "s2", "shift", F.lit(t), F.lit(0.8)).alias("i")).collect()
+        assert any(r.i >= t for r in got) and not any(r.i >= t and not r.room for r in got) and not all(r.room for r in got)
