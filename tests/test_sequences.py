@@ -1,5 +1,6 @@
 import itertools
 import math
+import os
 import random
 
 import numpy as np
@@ -321,3 +322,15 @@ def test_pairs_without_room_for_a_link_are_left_out_early(spark):
     for t in (0.5, 0.97):
         got = df.select(similarity._near(t, 0.8).alias("room"), similarity.overlap_share("s1", "s2", "shift", F.lit(t), F.lit(0.8)).alias("i")).collect()
         assert any(r.i >= t for r in got) and not any(r.i >= t and not r.room for r in got) and not all(r.room for r in got)
+
+
+def test_kmers_of_near_pairs_do_not_stay(spark, monkeypatch):
+    """The table of k-mers is gone once the pairs are there."""
+    made = []
+    table = similarity.counted_table
+    monkeypatch.setattr(similarity, "counted_table", lambda df: made.append(table(df)) or made[-1])
+    s = "".join(random.Random(4).choice("ACGT") for _ in range(80))
+    got = similarity.near_pairs(spark.createDataFrame([(1, s), (2, s[:75]), (3, s[::-1])], "id int, s string"), "id", "s", 0.9).collect()
+    assert [(r.id_a, r.id_b) for r in got] == [(2, 1)]
+    path = made[0][0]._table_path.removeprefix("file:")
+    assert "h" in made[0][0].columns and not os.path.exists(path)
