@@ -334,3 +334,13 @@ def test_kmers_of_near_pairs_do_not_stay(spark, monkeypatch):
     assert [(r.id_a, r.id_b) for r in got] == [(2, 1)]
     path = made[0][0]._table_path.removeprefix("file:")
     assert "h" in made[0][0].columns and not os.path.exists(path)
+
+
+def test_identities_together_equal_those_one_by_one():
+    """Records that are aligned with a key together get exactly the identity of each alone, ties and ambiguous letters included."""
+    rng = random.Random(8)
+    for _ in range(6):
+        key = "".join(rng.choice("ACGTRN") for _ in range(rng.randint(1, 90)))
+        texts = ["".join(rng.choice("ACGT") for _ in range(rng.randint(1, 100))) for _ in range(15)] + [key[i:j] + "AC" + key[k:] for i, j, k in ((0, 20, 20), (5, 30, 40), (0, 0, 10))] + ["", key * 2]
+        got, want = similarity.identities_to(texts, key), [similarity.overlap_identity(x, key) for x in texts]
+        assert all(a == b or (math.isnan(a) and math.isnan(b)) for a, b in zip(got, want))
