@@ -11,7 +11,7 @@ from curaspark.functions import seq as Q
 from curaspark.functions.text import RANKS
 from curaspark.operators import alignment, classifier, dense_keys, profiles, similarity, taxonomy
 from curaspark.plans import curate as plan
-from curaspark.session import as_table, scratch, shared_dir
+from curaspark.session import as_table, lookup_join, scratch, shared_dir
 from curaspark.sources import sinks
 from curaspark.sources import text as X
 
@@ -166,6 +166,33 @@ def test_scratch_tables_go(spark):
     assert shared_dir(spark) in b._table_path
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookups_beyond_the_bound_are_not_broadcast(spark):
+    """Small files can hold many rows: 16 copies of each went to the driver, as Spark goes by the size of the files."""
+    small, big = as_table(spark.range(5).withColumn("x", F.col("id") * 2)), as_table(spark.range(40).withColumn("id", F.col("id") % 8))
+    for how, n in (("inner", 25), ("left", 40), ("left_anti", 15)):
+        for salt in (None, F.rand(1)):
+            got = lookup_join(big, small, "id", how, salt, most=4)
+            assert "Broadcast" not in _plan(got) and got.count() == n
+    assert "BroadcastHashJoin" in _plan(lookup_join(big, small, "id", most=5))
+
+
+@pytest.mark.parametrize("removal", [True, False])
+def test_training_broadcasts_no_records(spark, monkeypatch, removal):
+    plans = []
+    for name in ("as_table", "counted_table"):
+        monkeypatch.setattr(classifier, name, lambda df, f=getattr(classifier, name): (plans.append(_plan(df)), f(df))[1])
+    monkeypatch.setattr(classifier, "lookup_join", lambda *a, **k: lookup_join(*a, **k, most=-1))
+    rows = [(f"{s}{i}", "K", "P", "C", "O", "F", s, f"{s} s", BASE[30 * i :]) for s in "ab" for i in range(3)] + [("o", "K", "P", "C", "O", "F", "c", "c s", BASE)]
+    df = spark.createDataFrame(rows, "rid string, " + ", ".join(f"{r} string" for r in RANKS) + ", seq string")
+    _, problems, groups = classifier.train(df, max_iterations=2, allow_group_removal=removal)
+    assert problems.count() and groups.count()
+    assert any("SortMergeJoin" in x for x in plans) and not any("BroadcastHashJoin" in x for x in [*plans, _plan(groups)])
+
+
 def test_dense_sums_are_exact(spark):
     """Numbers beyond 2^53, where doubles lose the last digits."""
     big = 2**53 + 1
