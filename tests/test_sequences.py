@@ -2,8 +2,10 @@ import itertools
 import math
 import os
 import random
+from contextlib import contextmanager
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -336,6 +338,43 @@ def test_kmers_of_near_pairs_do_not_stay(spark, monkeypatch):
     assert "h" in made[0][0].columns and not os.path.exists(path)
 
 
+def test_near_pairs_move_no_kmers(spark, monkeypatch):
+    """Pairs in many passes are those of brute force, and no table has as many rows as there are k-mers."""
+    made = []
+    for name in ("as_table", "counted_table"):
+        monkeypatch.setattr(similarity, name, lambda df, f=getattr(similarity, name): made.append(f(df)) or made[-1])
+    rows_of = lambda x: x[1] if isinstance(x, tuple) else x.count()
+    monkeypatch.setattr(similarity, "scratch", contextmanager(lambda s: (yield lambda df: df)))
+    monkeypatch.setattr(similarity, "PASS_KMERS", 100)
+    monkeypatch.setattr(similarity, "PASS_LETTERS", 2000)
+    rng = random.Random(6)
+    base = [*("".join(rng.choice("ACGT") for _ in range(220)) for _ in range(2)), "ACGTTGCAACGTAG" * 9]
+    texts = []
+    for i in range(40):
+        s = base[i % 3][rng.randint(0, 40) :]
+        texts.append("".join(rng.choice("ACGTN") if rng.random() < 0.02 else c for c in s)[: rng.randint(60, 200)])
+    for per_seq in (2000, 30):
+        made.clear()
+        got = similarity.near_pairs(spark.createDataFrame(list(enumerate(texts)), "id int, s string"), "id", "s", 0.8, per_seq=per_seq)
+        sizes = [rows_of(x) for x in made]
+        kmers, total = {}, 0
+        for i, s in enumerate(texts):
+            for h, at in similarity._lowest_kmers.func(pd.Series([s]), pd.Series([14]), pd.Series([per_seq]))[0]:
+                kmers.setdefault(h, []).append((-len(s), i, at))
+                total += 1
+        shifts = {}
+        for own in kmers.values():
+            _, c, c_at = min(own)
+            for _, i, at in own:
+                if i != c:
+                    shifts.setdefault((i, c), []).append(c_at - at)
+        best = {p: max((x.count(v), v) for v in set(x))[1] for p, x in shifts.items()}
+        cols = [pd.Series(x) for x in zip(*[(texts[a], texts[b], v, 0.8, 0.8) for (a, b), v in best.items()])]
+        want = {p: i for p, i in zip(best, similarity.overlap_share.func(*cols)) if i >= 0.8}
+        assert want and {(r.id_a, r.id_b): r.identity for r in got.collect()} == want
+        assert max(sizes) < total / 4
+
+
 def test_identities_together_equal_those_one_by_one():
     """Records that are aligned with a key together get exactly the identity of each alone, ties and ambiguous letters included."""
     rng = random.Random(8)
